@@ -1,6 +1,6 @@
 """Column functions: each takes and returns a Column and stays inside the JVM."""
 
-from remitspark.functions.amounts import amount_fault, parse_amount, to_stored_amount
+from remitspark.functions.amounts import amount_fault, parse_amount, stored_amount
 from remitspark.functions.naming import processed_key, rejected_key
 from remitspark.functions.text import blank_to_null, clean, clean_upper, flag
 from remitspark.functions.timestamps import iso_text, parse_timestamp
@@ -16,5 +16,5 @@ __all__ = [
     "parse_timestamp",
     "processed_key",
     "rejected_key",
-    "to_stored_amount",
+    "stored_amount",
 ]

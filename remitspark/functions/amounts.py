@@ -9,32 +9,45 @@ from remitspark.functions.text import clean
 
 NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\z"
 
-# A field has at most 131072 characters, so no mantissa can bring an exponent of a
-# million or more back into range. Such text is never turned into a number, which
-# would build a million-digit integer.
-FAR_EXPONENT = r"[eE][+-]?0*[1-9][0-9]{6,}\z"
+# Text with more digits than the decimal holds may round onto a limit from the wrong side:
+# onto 0.01 if its first digit is a 9, onto 10000000 if a digit follows its leading 1.
+ROUNDS_UP_TO_MIN = r"^\+?[0.]*9"
+ROUNDS_DOWN_TO_MAX = r"^\+?[0.]*1[0.]*[1-9]"
 
 
 def _literal(c: Column) -> Column:
     return F.replace(clean(c), F.lit("_"), F.lit(""))
 
 
+def _to_decimal(text: Column, kind: str) -> Column:
+    """Null for non-numbers and for exponents that the digits of the text cannot make up for.
+
+    Such a number is out of range, and converting it would build a huge integer.
+    """
+    exponent = F.regexp_extract(text, "[eE][+-]?([0-9]+)", 1).try_cast("int")
+    far = text.rlike("[eE]") & (F.coalesce(exponent, F.lit(2**31 - 1)) > F.length(text) + 10)
+    return F.when(text.rlike(NUMBER) & ~far, text.try_cast(kind))
+
+
 def parse_amount(c: Column) -> Column:
-    """``decimal(38,28)``, or null where the text is no number or its size is 1e10 or more."""
-    text = _literal(c)
-    return F.when(text.rlike(NUMBER) & ~text.rlike(FAR_EXPONENT), text.try_cast("decimal(38,28)"))
+    """``decimal(38,28)``, or null where the text is no number or far out of range."""
+    return _to_decimal(_literal(c), "decimal(38,28)")
 
 
 def amount_fault(c: Column, parsed: Column) -> Column:
     """Reason code for the raw text ``c`` and its :func:`parse_amount` value, or null."""
+    text = _literal(c)
     low = F.lit(S.MIN_AMOUNT).cast("decimal(38,28)")
     high = F.lit(S.MAX_AMOUNT).cast("decimal(38,28)")
+    below = (parsed < low) | ((parsed == low) & text.rlike(ROUNDS_UP_TO_MIN))
+    above = (parsed > high) | ((parsed == high) & text.rlike(ROUNDS_DOWN_TO_MAX))
     return (
         F.when(clean(c) == "", S.EMPTY_AMOUNT)
-        .when(parsed.isNull() & ~_literal(c).rlike(NUMBER), S.INVALID_AMOUNT)
-        .when(parsed.isNull() | (parsed < low) | (parsed > high), S.AMOUNT_OUT_OF_RANGE)
+        .when(parsed.isNull() & ~text.rlike(NUMBER), S.INVALID_AMOUNT)
+        .when(parsed.isNull() | below | above, S.AMOUNT_OUT_OF_RANGE)
     )
 
 
-def to_stored_amount(parsed: Column) -> Column:
-    return parsed.cast("decimal(18,2)")
+def stored_amount(c: Column) -> Column:
+    """``decimal(18,2)``, rounded half up once, for text that passed :func:`amount_fault`."""
+    return _to_decimal(_literal(c), "decimal(18,2)")

@@ -24,7 +24,7 @@ def check_rows(raw: DataFrame) -> DataFrame:
         }
     )
     return parsed.withColumn("fault", _first_fault()).withColumn(
-        "parsed_amount", F.when(F.col("fault").isNull(), R.to_stored_amount(F.col("parsed_amount")))
+        "parsed_amount", F.when(F.col("fault").isNull(), R.stored_amount(F.col("amount")))
     )
 
 

@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from remitspark import schema as S
+from remitspark.session import conf_bytes
+from remitspark.sources import csv_files, csv_text, records
+from remitspark.streaming.arrivals import arrivals
+from tests import rowwise
+
+HEADER = ",".join(S.REQUIRED_COLUMNS)
+ROW = "T1,2026/1/5,M1,C1,PM1,12.50,INR,SUCCESS,0,WEB,ASIA"
+
+
+def line(**values: str) -> str:
+    row = dict(zip(S.REQUIRED_COLUMNS, ROW.split(","))) | values
+    return ",".join(row[c] for c in S.REQUIRED_COLUMNS)
+
+
+def read_back(spark, raw_dir):
+    """Rows per file in order, and the file errors."""
+    rows, files = csv_files.read_raw(spark, str(raw_dir))
+    firsts = rows.groupBy("source_file").agg(F.min("row_pos").alias("first_pos"))
+    out = {}
+    for r in csv_files.without_headers(rows, firsts).orderBy("source_file", "row_pos").collect():
+        out.setdefault(r.source_file, []).append({c: r[c] for c in S.REQUIRED_COLUMNS})
+    return out, {r.source_file: r.file_error for r in files.collect()}
+
+
+def check(spark, raw_dir, files: dict[str, bytes]):
+    for name, data in files.items():
+        path = raw_dir / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+    rows, errors = read_back(spark, raw_dir)
+    for name, data in files.items():
+        want = rowwise.read_file(data)
+        if want is None:
+            assert errors[name] is not None, name
+            assert name not in rows, name
+        else:
+            assert errors[name] is None, (name, errors[name])
+            assert rows.get(name, []) == want, name
+    return errors
+
+
+SWAPPED = list(reversed(S.REQUIRED_COLUMNS))
+
+FILES = {
+    "plain.csv": f"{HEADER}\n{ROW}\n{ROW}\n".encode(),
+    "bom_crlf.csv": b"\xef\xbb\xbf" + f"{HEADER}\r\n{ROW}\r\n{ROW}\r\n".encode(),
+    "no_final_newline.csv": f"{HEADER}\n{ROW}".encode(),
+    "swapped.csv": (",".join(SWAPPED) + "\n" + ",".join(reversed(ROW.split(","))) + "\n").encode(),
+    "extra_column.csv": f"note,{HEADER},more\nhi,{ROW},ho\n".encode(),
+    "long_row.csv": f"{HEADER}\n{ROW},x,y\n".encode(),
+    "short_row.csv": f"{HEADER}\nT1,2026/1/5\n{ROW}\n".encode(),
+    "repeated_name.csv": f"{HEADER},region\n{ROW},LAST\n".encode(),
+    "empty_name.csv": f"{HEADER.replace('currency', 'currency,')}\n{ROW.replace('INR', 'INR,gap')}\n".encode(),
+    "quoted.csv": (
+        HEADER + "\n" + line(region='"a,b"') + "\n" + line(region='"say ""hi"" \\ there"') + "\n"
+        + line(region='""') + "\n" + line(region='"x"tail') + "\n" + line(region='mid"quote') + "\n"
+        + line(transaction_id='"T1"') + "\n"
+    ).encode(),
+    "newline.csv": (
+        HEADER + "\n" + line(region='"two\nlines"') + "\n" + ROW + "\n" + line(transaction_id='"a\r\n\r\nb"') + "\r\n"
+    ).encode(),
+    "newline_in_header.csv": f'"odd\nname",{HEADER}\nx,{ROW}\n"y\nz",{ROW}\n'.encode(),
+    "blank_lines.csv": f"{HEADER}\n\n{ROW}\n\r\n   \n{ROW}\n\n".encode(),
+    "padded.csv": f"{HEADER}\n{ROW.replace('ASIA', '  ASIA  ')}\n".encode(),
+    "header_only.csv": f"{HEADER}\n".encode(),
+    "header_again.csv": f"{HEADER}\n{ROW}\n{HEADER}\n{ROW}\n".encode(),
+    "quoted_header.csv": (",".join(f'"{c}"' for c in S.REQUIRED_COLUMNS) + f"\n{ROW}\n").encode(),
+    "lacks_region.csv": f"{HEADER.removesuffix(',region')}\n{ROW}\n".encode(),
+    "wrong_case.csv": f"{HEADER.replace('region', 'Region')}\n{ROW}\n".encode(),
+    "padded_name.csv": f"{HEADER.replace(',region', ', region')}\n{ROW}\n".encode(),
+    "blank_first_line.csv": f"\n{HEADER}\n{ROW}\n".encode(),
+    "UPPER.CSV": f"{HEADER}\n{ROW}\n".encode(),
+    "my f+g%20.csv": f"{HEADER}\n{ROW}\n".encode(),
+    "deep/er/[x]{y}.csv": f"{HEADER}\n{ROW}\n".encode(),
+    "accents.csv": f"{HEADER}\n{line(region='Zürich,')}\n{line(merchant_id='日本')}\n".encode(),
+    "lone_cr.csv": f"{HEADER}\n{line(region='a')}\r{ROW}\n".encode(),
+    "quoted_cr.csv": (HEADER + "\n" + line(region='"a\rb"') + "\n").encode(),
+    "many_cr.csv": f"{HEADER}\r\r\n{ROW}\r\r\r\n".encode(),
+    "largest_field.csv": f"{HEADER}\n{line(region='r' * S.MAX_FIELD_CHARS)}\n".encode(),
+    "too_large_field.csv": f"{HEADER}\n{line(region='r' * (S.MAX_FIELD_CHARS + 1))}\n{ROW}\n".encode(),
+    "long_line.csv": f"{HEADER}\n{ROW},{',x' * S.MAX_FIELD_CHARS}\n".encode(),
+    "unclosed.csv": (HEADER + "\n" + line(merchant_id='"oops') + "\n" + (ROW + "\n") * 4000).encode(),
+    "too_large_quoted.csv": (HEADER + "\n" + line(region='"' + "ab\n" * 50000 + '"') + "\n" + ROW + "\n").encode(),
+    "large_quoted.csv": (HEADER + "\n" + line(region='"' + "ab\n" * 40000 + '"') + "\n" + ROW + "\n").encode(),
+}
+
+
+def test_every_kind_of_file(spark, tmp_path):
+    (tmp_path / "notes.txt").write_text(f"{HEADER}\n{ROW}\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    errors = check(spark, tmp_path, FILES)
+    assert set(errors) == set(FILES)
+    assert {name: e for name, e in errors.items() if e} == {
+        "lacks_region.csv": "MISSING_REQUIRED_COLUMNS: region",
+        "wrong_case.csv": "MISSING_REQUIRED_COLUMNS: region",
+        "padded_name.csv": "MISSING_REQUIRED_COLUMNS: region",
+        "blank_first_line.csv": "MISSING_REQUIRED_COLUMNS: " + ", ".join(S.REQUIRED_COLUMNS),
+        "lone_cr.csv": S.STRAY_CARRIAGE_RETURN,
+        "too_large_field.csv": S.FIELD_TOO_LARGE,
+        "unclosed.csv": S.FIELD_TOO_LARGE,
+        "too_large_quoted.csv": S.FIELD_TOO_LARGE,
+    }
+
+
+def random_csv(rnd: random.Random, rows: int, newlines: bool) -> bytes:
+    pieces = ["a", "b ", '""', ",", "é", "\\"] + (["\n", "\r\n"] if newlines else [])
+    plain = ["x", "y", "", "  ", 'q"q', "T7"]
+    out = [HEADER]
+    for i in range(rows):
+        values = [f"id{i}"]
+        for _ in range(rnd.choice([10, 10, 10, 4, 13])):
+            if rnd.random() < 0.3:
+                body = "".join(rnd.choices(pieces, k=rnd.randint(0, 6)))
+                values.append(f'"{body}"' + rnd.choice(["", "", "", 'z"z']))
+            else:
+                values.append(rnd.choice(plain))
+        out.append(",".join(values))
+    return ("\n".join(out) + "\n").encode()
+
+
+@pytest.mark.parametrize("split", ["37", "100", "1000", "128MB"])
+def test_files_cut_into_splits(spark, conf, tmp_path, split):
+    conf("spark.sql.files.maxPartitionBytes", split)
+    rnd = random.Random(int(conf_bytes(spark, "spark.sql.files.maxPartitionBytes")))
+    size = 40 if split == "37" else 150
+    files = {
+        "a.csv": random_csv(rnd, size, newlines=True),
+        "b.csv": random_csv(rnd, size, newlines=False),
+        "c.csv": random_csv(rnd, size, newlines=True),
+        "d.csv": (HEADER + "\n" + "\n".join(f"id{i}" + ROW[2:] for i in range(size)) + "\n").encode(),
+        "e.csv": (HEADER + "\n" + line(region='"' + "\n" * 300 + '"') + "\n" + ROW + "\n").encode(),
+    }
+    check(spark, tmp_path, files)
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "4096")
+    (tmp_path / "big.csv").write_text(HEADER + "\n" + (ROW + "\n") * 2000)
+    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    assert lines.rdd.getNumPartitions() > 20
+    assert lines.select("row_pos").distinct().count() == 2001
+
+
+def test_nothing_is_shuffled_on_the_way_to_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
+    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    files = spark.createDataFrame([("a.csv", list(range(11)))], "source_file string, positions array<int>")
+    plan = csv_files._bind(lines, files)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_profile_does_not_sort_the_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
+    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    plan = (
+        lines.groupBy("source_file")
+        .agg(F.min_by("line", "row_pos"), F.collect_set(csv_text.record_fault(F.col("line"))))
+        ._jdf.queryExecution()
+        .executedPlan()
+        .toString()
+    )
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_shuffled_joins_give_the_same(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    check(spark, tmp_path, {n: FILES[n] for n in ("plain.csv", "swapped.csv", "newline.csv", "lacks_region.csv")})
+
+
+def test_header_check(spark):
+    headers = spark.createDataFrame([("a", ["x", *S.REQUIRED_COLUMNS, "region"]), ("b", ["amount"])],
+                                    "source_file string, header array<string>")
+    rows = {r.source_file: r for r in csv_files.check_header(headers).collect()}
+    assert rows["a"].missing == [] and rows["a"].positions == [*range(1, 11), 12]
+    assert rows["b"].missing == [c for c in S.REQUIRED_COLUMNS if c != "amount"]
+
+
+def test_admission(spark):
+    paths = spark.createDataFrame([("raw/a.csv",), ("raw/B.CSV",), ("raw/c.csv.gz",), ("raw/csv",)], "path string")
+    assert [r.path for r in csv_files.admit(paths).collect()] == ["raw/a.csv", "raw/B.CSV"]
+
+
+def test_arrivals_is_a_stream_of_paths(spark, tmp_path):
+    stream = arrivals(spark, str(tmp_path))
+    assert stream.isStreaming and stream.columns == ["path"]
