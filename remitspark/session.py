@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -23,6 +24,11 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="remitspark-")
+
+
 def new_work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder that the cluster names.
 
@@ -32,8 +38,7 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="remitspark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -130,13 +130,13 @@ def random_csv(rnd: random.Random, rows: int, newlines: bool) -> bytes:
 def test_files_cut_into_splits(spark, conf, tmp_path, split):
     conf("spark.sql.files.maxPartitionBytes", split)
     rnd = random.Random(int(conf_bytes(spark, "spark.sql.files.maxPartitionBytes")))
-    size = 40 if split == "37" else 150
+    size = {"37": 10, "100": 30}.get(split, 150)
     files = {
         "a.csv": random_csv(rnd, size, newlines=True),
         "b.csv": random_csv(rnd, size, newlines=False),
         "c.csv": random_csv(rnd, size, newlines=True),
         "d.csv": (HEADER + "\n" + "\n".join(f"id{i}" + ROW[2:] for i in range(size)) + "\n").encode(),
-        "e.csv": (HEADER + "\n" + line(region='"' + "\n" * 300 + '"') + "\n" + ROW + "\n").encode(),
+        "e.csv": (HEADER + "\n" + line(region='"' + "\n" * size + '"') + "\n" + ROW + "\n").encode(),
     }
     check(spark, tmp_path, files)
 
