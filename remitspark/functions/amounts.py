@@ -15,39 +15,39 @@ ROUNDS_UP_TO_MIN = r"^\+?[0.]*9"
 ROUNDS_DOWN_TO_MAX = r"^\+?[0.]*1[0.]*[1-9]"
 
 
-def _literal(c: Column) -> Column:
-    return F.replace(clean(c), F.lit("_"), F.lit(""))
+def literal_of(text: Column) -> Column:
+    """Clean text without the underscores that may group digits."""
+    return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def _to_decimal(text: Column, kind: str) -> Column:
+def decimal_of(literal: Column, kind: str = "decimal(38,28)") -> Column:
     """Null for non-numbers and for exponents that the digits of the text cannot make up for.
 
     Such a number is out of range, and converting it would build a huge integer.
     """
-    exponent = F.regexp_extract(text, "[eE][+-]?([0-9]+)", 1).try_cast("int")
-    far = text.rlike("[eE]") & (F.coalesce(exponent, F.lit(2**31 - 1)) > F.length(text) + 10)
-    return F.when(text.rlike(NUMBER) & ~far, text.try_cast(kind))
+    exponent = F.regexp_extract(literal, "[eE][+-]?([0-9]+)", 1).try_cast("int")
+    far = literal.rlike("[eE]") & (F.coalesce(exponent, F.lit(2**31 - 1)) > F.length(literal) + 10)
+    return F.when(literal.rlike(NUMBER) & ~far, literal.try_cast(kind))
 
 
 def parse_amount(c: Column) -> Column:
     """``decimal(38,28)``, or null where the text is no number or far out of range."""
-    return _to_decimal(_literal(c), "decimal(38,28)")
+    return decimal_of(literal_of(clean(c)))
 
 
-def amount_fault(c: Column, parsed: Column) -> Column:
-    """Reason code for the raw text ``c`` and its :func:`parse_amount` value, or null."""
-    text = _literal(c)
+def amount_fault(text: Column, literal: Column, parsed: Column) -> Column:
+    """Reason code for clean text, its :func:`literal_of` and its :func:`decimal_of`, or null."""
     low = F.lit(S.MIN_AMOUNT).cast("decimal(38,28)")
     high = F.lit(S.MAX_AMOUNT).cast("decimal(38,28)")
-    below = (parsed < low) | ((parsed == low) & text.rlike(ROUNDS_UP_TO_MIN))
-    above = (parsed > high) | ((parsed == high) & text.rlike(ROUNDS_DOWN_TO_MAX))
+    below = (parsed < low) | ((parsed == low) & literal.rlike(ROUNDS_UP_TO_MIN))
+    above = (parsed > high) | ((parsed == high) & literal.rlike(ROUNDS_DOWN_TO_MAX))
     return (
-        F.when(clean(c) == "", S.EMPTY_AMOUNT)
-        .when(parsed.isNull() & ~text.rlike(NUMBER), S.INVALID_AMOUNT)
+        F.when(text == "", S.EMPTY_AMOUNT)
+        .when(parsed.isNull() & ~literal.rlike(NUMBER), S.INVALID_AMOUNT)
         .when(parsed.isNull() | below | above, S.AMOUNT_OUT_OF_RANGE)
     )
 
 
-def stored_amount(c: Column) -> Column:
+def stored_amount(literal: Column) -> Column:
     """``decimal(18,2)``, rounded half up once, for text that passed :func:`amount_fault`."""
-    return _to_decimal(_literal(c), "decimal(18,2)")
+    return decimal_of(literal, "decimal(18,2)")

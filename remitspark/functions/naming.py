@@ -1,10 +1,14 @@
-"""Output names per source file."""
+"""File names: which files come in, and what their outputs are called."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 
+def is_csv(path: Column) -> Column:
+    return F.lower(path).endswith(".csv")
+
+
 def _base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -10,37 +10,44 @@ from pyspark.sql import Column, functions as F
 
 from remitspark.functions.text import clean
 
-YEAR = "(?!0000)[0-9]{4}"
-NUM = "[0-9]{1,2}"
-DAY = "(?: [0-9]|[0-9]{1,2})"  # one padding space may stand for the leading zero
-SECOND = "[0-5]?[0-9]"
-HOUR12 = "(?:1[0-2]|0?[1-9])"
+YEAR = "((?!0000)[0-9]{4})"
+NUM = "([0-9]{1,2})"
+DAY = "( [0-9]|[0-9]{1,2})"  # one padding space may stand for the leading zero
+MINUTE = "([0-9]{1,2})"
+SECOND = "([0-5]?[0-9])"
+HOUR12 = "(1[0-2]|0?[1-9])"
 GAP = r"(?U:[\s\x1c-\x1f]+)"
 
-ISO = rf"^{YEAR}-{NUM}-{DAY}[Tt]{NUM}:{NUM}:{SECOND}\z"
-DAY_FIRST = rf"^{DAY}-{NUM}-{YEAR}{GAP}{NUM}:{NUM}\z"
-MONTH_FIRST = rf"^{NUM}/{DAY}/{YEAR}{GAP}{HOUR12}:{NUM}{GAP}[AaPp][Mm]\z"
+ISO = rf"^{YEAR}-{NUM}-{DAY}[Tt]{NUM}:{MINUTE}:{SECOND}\z"
+DAY_FIRST = rf"^{DAY}-{NUM}-{YEAR}{GAP}{NUM}:{MINUTE}\z"
+MONTH_FIRST = rf"^{NUM}/{DAY}/{YEAR}{GAP}{HOUR12}:{MINUTE}{GAP}[AaPp][Mm]\z"
 DATE_ONLY = rf"^{YEAR}/{NUM}/{DAY}\z"
 
 
 def parse_timestamp(c: Column) -> Column:
-    """``timestamp_ntz``, or null where no shape fits or the date does not exist.
+    """``timestamp_ntz``, or null where no shape fits or the date does not exist."""
+    return timestamp_of(clean(c))
 
-    The shapes exclude one another, so a row pays for one split and at most four tests.
+
+def timestamp_of(text: Column) -> Column:
+    """:func:`parse_timestamp` of text that is clean already.
+
+    The shapes exclude one another, so a row pays for at most four tests and one rewrite.
     """
-    text = clean(c)
-    parts = F.split(text, "[^0-9]+")
 
-    def n(i: int) -> Column:
-        return F.get(parts, F.lit(i)).try_cast("int")
+    def rewritten(shape: str, standard: str | Column) -> Column:
+        return F.replace(F.regexp_replace(text, shape, standard), F.lit(" "), F.lit("")).try_cast("timestamp_ntz")
 
-    zero = F.lit(0)
-    hour_of_day = n(3) % 12 + F.when(F.lower(text).endswith("pm"), 12).otherwise(0)
+    noon_or_midnight = text.rlike(GAP + "12:")
+    morning = F.when(noon_or_midnight, "$3-$1-$2T00:$5:00").otherwise("$3-$1-$2T$4:$5:00")
+    half_day = F.when(F.lower(text).endswith("pm"), F.expr("INTERVAL '12' HOUR")).otherwise(
+        F.expr("INTERVAL '0' HOUR")
+    )
     return (
-        F.when(text.rlike(ISO), F.try_make_timestamp_ntz(n(0), n(1), n(2), n(3), n(4), n(5)))
-        .when(text.rlike(DAY_FIRST), F.try_make_timestamp_ntz(n(2), n(1), n(0), n(3), n(4), zero))
-        .when(text.rlike(MONTH_FIRST), F.try_make_timestamp_ntz(n(2), n(0), n(1), hour_of_day, n(4), zero))
-        .when(text.rlike(DATE_ONLY), F.try_make_timestamp_ntz(n(0), n(1), n(2), zero, zero, zero))
+        F.when(text.rlike(ISO), rewritten(ISO, "$1-$2-$3T$4:$5:$6"))
+        .when(text.rlike(DAY_FIRST), rewritten(DAY_FIRST, "$3-$2-$1T$4:$5:00"))
+        .when(text.rlike(MONTH_FIRST), rewritten(MONTH_FIRST, morning) + half_day)
+        .when(text.rlike(DATE_ONLY), rewritten(DATE_ONLY, "$1-$2-$3T00:00:00"))
     )
 
 

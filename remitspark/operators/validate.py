@@ -7,34 +7,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from remitspark import schema as S
 from remitspark import functions as R
+from remitspark import schema as S
 
 
 def check_rows(raw: DataFrame) -> DataFrame:
     """Adds the parsed values and ``fault``: the first failing rule, duplicates aside.
 
-    One projection, no shuffle.
+    No shuffle. The projections are stacked so that text which several rules look at is
+    cleaned once per row: Spark does not merge projections that would repeat such work.
     """
-    parsed = raw.withColumns(
+    cleaned = raw.withColumns(
         {
             "clean_id": R.clean(F.col("transaction_id")),
-            "parsed_ts": R.parse_timestamp(F.col("transaction_ts")),
-            "parsed_amount": R.parse_amount(F.col("amount")),
+            "clean_ts": R.clean(F.col("transaction_ts")),
+            "clean_amount": R.clean(F.col("amount")),
+        }
+    ).withColumn("amount_literal", R.literal_of(F.col("clean_amount")))
+    parsed = cleaned.withColumns(
+        {
+            "parsed_ts": R.timestamp_of(F.col("clean_ts")),
+            "parsed_amount": R.decimal_of(F.col("amount_literal")),
         }
     )
-    return parsed.withColumn("fault", _first_fault()).withColumn(
-        "parsed_amount", F.when(F.col("fault").isNull(), R.stored_amount(F.col("amount")))
+    stored = F.when(F.col("fault").isNull(), R.stored_amount(F.col("amount_literal")))
+    return (
+        parsed.withColumn("fault", _first_fault())
+        .withColumn("parsed_amount", stored)
+        .drop("clean_ts", "clean_amount", "amount_literal")
     )
 
 
 def _first_fault() -> Column:
-    ts, amount = F.col("transaction_ts"), F.col("amount")
+    raw_ts = F.coalesce(F.col("transaction_ts"), F.lit(""))
     return F.coalesce(
         F.when(F.col("clean_id") == "", S.MISSING_TRANSACTION_ID),
-        F.when(F.coalesce(ts, F.lit("")) == "", S.EMPTY_TIMESTAMP),
+        F.when(raw_ts == "", S.EMPTY_TIMESTAMP),
         F.when(F.col("parsed_ts").isNull(), S.INVALID_TIMESTAMP),
-        R.amount_fault(amount, F.col("parsed_amount")),
+        R.amount_fault(F.col("clean_amount"), F.col("amount_literal"), F.col("parsed_amount")),
         F.when(~R.clean_upper(F.col("currency")).isin(S.CURRENCIES), S.INVALID_CURRENCY),
         F.when(~R.clean_upper(F.col("status")).isin(S.STATUSES), S.INVALID_STATUS),
         F.when(R.clean(F.col("merchant_id")) == "", S.MISSING_MERCHANT_ID),

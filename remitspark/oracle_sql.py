@@ -195,14 +195,6 @@ _ANALYTICS = {
     "ORDER BY transaction_count DESC, status",
 }
 
-_TABLE_STRUCTURE = """
-SELECT * FROM (VALUES
-    ('transaction_id', 'string', 1), ('transaction_ts', 'timestamp_ntz', 2), ('merchant_id', 'string', 3),
-    ('customer_id', 'string', 4), ('payment_method_id', 'string', 5), ('amount', 'decimal(18,2)', 6),
-    ('currency', 'string', 7), ('status', 'string', 8), ('is_fraud_flag', 'boolean', 9),
-    ('device_type', 'string', 10), ('region', 'string', 11)
-) AS t(column_name, data_type, ordinal_position) ORDER BY ordinal_position"""
-
 _PROCESSED_DIR = "'processed/year=' || year(first_ts) || strftime(first_ts, '/month=%m/day=%d/')"
 
 _DIRTY = {
@@ -251,7 +243,6 @@ FROM objects"""
 
 ORACLE_SQL: dict[str, str] = {
     **{name: f"{CLEAN} {sql}" for name, sql in _ANALYTICS.items()},
-    "table_structure": _TABLE_STRUCTURE,
     **{name: f"{DIRTY} {sql}" for name, sql in _DIRTY.items()},
     "route_notifications": _NOTIFICATIONS,
 }

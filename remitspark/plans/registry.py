@@ -70,7 +70,11 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse.load(spark, f"{folder}/processed", table, mode="incremental")
     finally:
         drop_work_folder(spark, folder)
-    return count_by_status(warehouse.transactions(spark, table))
+    result = count_by_status(warehouse.transactions(spark, table))
+    # The result reads the files in `stored`; the names in the catalog are not needed any more.
+    spark.sql(f"DROP VIEW {table}")
+    spark.sql(f"DROP TABLE {table}_rows")
+    return result
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +93,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The table-structure check is not here: it reads a schema, so its work does not grow with data.
 REGISTRY: dict[str, Query] = {
-    **{name: _over_transactions(query) for name, query in {**QUERIES, **CHECKS}.items()},
+    **{name: _over_transactions(query) for name, query in {**QUERIES, **CHECKS}.items() if name != "table_structure"},
     "validate_reasons": validate_reasons,
     "valid_rows": valid_rows,
     "rejected_rows": rejected_rows,

@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        # The JVM interprets larger methods instead of compiling them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -49,6 +51,13 @@ def drop_work_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """Full name of a folder, with scheme, as file listings show it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
 def conf_bytes(spark: SparkSession, key: str) -> int:
     """A size setting such as ``128MB``, ``134217728b`` or ``134217728`` in bytes."""
     text = spark.conf.get(key).strip().lower().removesuffix("b")

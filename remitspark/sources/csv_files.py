@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from remitspark import schema as S
+from remitspark.functions import is_csv
 from remitspark.session import new_work_folder
 from remitspark.sources import csv_text as C
 from remitspark.sources import records as L
@@ -17,7 +18,7 @@ OPEN = "OPEN"
 
 def admit(paths: DataFrame) -> DataFrame:
     """Keeps rows whose ``path`` names a CSV file, in any letter case."""
-    return paths.filter(F.lower("path").endswith(".csv"))
+    return paths.filter(is_csv(F.col("path")))
 
 
 def check_header(headers: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from remitspark.functions import is_csv
+
 # The envelopes' field names and constants.
 _OBJECT = "struct<bucket: struct<name: string>, object: struct<key: string>>"
 ENVELOPE = (
@@ -54,7 +56,7 @@ def route_notifications(
     status = (
         F.when(~valid, INVALID)
         .when(F.col("is_bus") & ~subscribed, NOT_MATCHED)
-        .when(~F.lower("key").endswith(".csv"), IGNORED)
+        .when(~is_csv(F.col("key")), IGNORED)
         .otherwise(ACCEPTED)
     )
     error = F.when(~valid, F.when(F.col("is_known"), INVALID).otherwise(UNSUPPORTED))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from remitspark import schema as S
-from remitspark.session import conf_bytes
+from remitspark.session import conf_bytes, qualified
 from remitspark.sources import csv_text as C
 
 
@@ -31,7 +31,7 @@ def scan_lines(spark: SparkSession, paths: list[str], raw_dir: str) -> DataFrame
         .option("recursiveFileLookup", True)
         .text(paths)
         .select(
-            _below(raw_dir, F.col("_metadata.file_path")).alias("source_file"),
+            _below(qualified(spark, raw_dir), F.col("_metadata.file_path")).alias("source_file"),
             F.col("_metadata.file_block_start").alias("block"),
             in_task.alias("in_task"),
             F.col("value").alias("line"),
@@ -45,11 +45,11 @@ def scan_lines(spark: SparkSession, paths: list[str], raw_dir: str) -> DataFrame
     )
 
 
-def _below(raw_dir: str, file_path: Column) -> Column:
-    """Decoded path relative to ``raw_dir``. A plus sign in a path is a plus sign."""
+def _below(root: str, file_path: Column) -> Column:
+    """Decoded path below ``root``. A plus sign in a path is a plus sign."""
     path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    root = raw_dir.removeprefix("file://").removeprefix("file:").rstrip("/") + "/"
-    return F.substring(path, F.instr(path, root) + F.lit(len(root)), F.lit(2**31 - 1))
+    path = F.regexp_replace(path, "^file:/+", "file:/")
+    return F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 2**31 - 1)).otherwise(path)
 
 
 def _with_entry_state(rows: DataFrame, order: W, opens: str, stays: str) -> DataFrame:

@@ -117,8 +117,11 @@ AMOUNTS = {
 
 
 def amounts(spark, texts):
-    parsed = R.parse_amount(F.col("c"))
-    return evaluate(spark, texts, R.amount_fault(F.col("c"), parsed), R.stored_amount(F.col("c")))
+    text = R.clean(F.col("c"))
+    literal = R.literal_of(text)
+    return evaluate(
+        spark, texts, R.amount_fault(text, literal, R.parse_amount(F.col("c"))), R.stored_amount(literal)
+    )
 
 
 def test_amount_table(spark):

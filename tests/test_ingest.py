@@ -152,6 +152,20 @@ def test_work_folder_is_left_clean(spark, tmp_path):
     assert folder.startswith(shared) and folder != new_work_folder(spark, "x")
 
 
+def test_no_files(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "notes.txt").write_text("no")
+    assert ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out")).collect() == []
+
+
+def test_names_are_below_the_raw_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    put(tmp_path / "raw dir" / "x", {"raw dir/x/a.csv": f"{HEADER}\n{ROW}\n".encode()})
+    for n, raw in enumerate([str(tmp_path / "raw dir"), f"file://{tmp_path}/raw dir/"]):
+        audit = ingest(spark, raw, str(tmp_path / f"out{n}"))
+        assert [r.source_file for r in audit.collect()] == ["x/raw dir/x/a.csv"]
+
+
 def test_nothing_valid_anywhere(spark, tmp_path):
     put(tmp_path / "raw", {"a.csv": f"{HEADER}\n{line(status='?')}\n".encode(), "b.csv": b"x\n1\n"})
     out = str(tmp_path / "out")

@@ -111,11 +111,17 @@ def test_one_hot_id_and_one_hot_file(spark, conf):
     # Everything shuffled, nothing broadcast, and skewed join partitions cut.
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "4096")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4096")
     rnd = random.Random(6)
     hot = [GOOD | {"transaction_id": "HOT"} if i % 3 else random_row(rnd, 900) for i in range(3000)]
     files = {"hot": hot, "cold": [random_row(rnd, 50) for _ in range(100)]}
-    assert reasons(spark, files) == {name: rowwise.reasons_of(rows) for name, rows in files.items()}
+    annotated = V.annotate(raw_frame(spark, files, parts=12)).select("source_file", "row_pos", "rejection_reason")
+    got = {name: [None] * len(rows) for name, rows in files.items()}
+    for r in annotated.collect():
+        got[r.source_file][r.row_pos // 10] = r.rejection_reason
+    assert got == {name: rowwise.reasons_of(rows) for name, rows in files.items()}
+    assert "skew=true" in annotated._jdf.queryExecution().executedPlan().toString()
 
 
 def test_valid_rows_are_normalised_and_rejected_rows_untouched(spark):
