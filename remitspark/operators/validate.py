@@ -57,17 +57,19 @@ def first_valid(checked: DataFrame) -> DataFrame:
     """Position of the first valid row of every id that has a later row in its file.
 
     Aggregated before the shuffle, so an id that fills a third of a file sends one row
-    per task. Only ids with something to reject remain.
+    per task. Only ids with something to reject remain. The two keys are grouped as one
+    struct: grouped one by one, a join on them would reuse this shuffle, and adaptive
+    execution splits hot keys only in joins whose sides both come from their own shuffle.
     """
     return (
         checked.filter(F.col("clean_id") != "")
-        .groupBy("source_file", "clean_id")
+        .groupBy(F.struct("source_file", "clean_id").alias("key"))
         .agg(
             F.min(F.when(F.col("fault").isNull(), F.col("row_pos"))).alias("first_valid_pos"),
             F.max("row_pos").alias("last_pos"),
         )
         .filter(F.col("last_pos") > F.col("first_valid_pos"))
-        .select("source_file", F.col("clean_id").alias("match_id"), "first_valid_pos")
+        .select("key.source_file", F.col("key.clean_id").alias("match_id"), "first_valid_pos")
     )
 
 

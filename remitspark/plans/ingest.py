@@ -41,7 +41,11 @@ def ingest(
         checked, files = read_raw(spark, raw_dir, paths, folder, V.check_rows)
         repeated = store(V.first_valid(checked), f"{folder}/repeated")
         few_repeated = fits_broadcast(repeated)
-        marked = V.mark_duplicates(checked, F.broadcast(repeated) if few_repeated else repeated.hint("merge"))
+        if few_repeated:
+            marked = V.mark_duplicates(checked, F.broadcast(repeated))
+        else:
+            # Shuffles every row; stored, so that it happens once and not per output.
+            marked = store(V.mark_duplicates(checked, repeated.hint("merge")), f"{folder}/marked")
         summary = store(A.file_summary(marked), f"{folder}/summary")
         dates = A.partition_dates(summary)
 
