@@ -38,19 +38,38 @@ def load(
         raise ValueError(f"mode must be 'append' or 'incremental', not {mode!r}")
     create_transactions(spark, table)
     processed = read_processed(spark, processed_dir)
-    folder = None
-    if mode == "incremental":
-        # Directory names and one column of the table; no rows move.
-        folder = new_work_folder(spark, "load")
-        loaded = spark.table(f"{table}_rows").select("source_file").distinct()
-        fresh = processed.select("source_file").distinct().join(loaded, "source_file", "left_anti")
-        processed = processed.join(joinable(store(fresh, folder)), "source_file", "left_semi")
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRANSACTIONS.fields]
+    if mode == "append":
+        _append(processed, table)
+        return
+    folder = new_work_folder(spark, "load")
     try:
-        processed.select(*typed, "source_file").write.insertInto(f"{table}_rows")
+        fresh = store(_not_loaded(processed, spark.table(f"{table}_rows")), folder)
+        _append(only_files(processed, fresh), table)
     finally:
-        if folder:
-            drop_work_folder(spark, folder)
+        drop_work_folder(spark, folder)
+
+
+def _append(processed: DataFrame, table: str) -> None:
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRANSACTIONS.fields]
+    processed.select(*typed, "source_file").write.insertInto(f"{table}_rows")
+
+
+def _not_loaded(processed: DataFrame, rows: DataFrame) -> DataFrame:
+    """``source_file, row_count`` of new files.
+
+    Reads directory names and row counts of the one side, one column of the other.
+    """
+    present = processed.groupBy("source_file").agg(F.count("*").alias("row_count"))
+    return present.join(rows.select("source_file").distinct(), "source_file", "left_anti")
+
+
+def only_files(processed: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the files in ``source_file, row_count``.
+
+    The filter is on a column of its own, which makes Spark prune the directories of all
+    other files at run time.
+    """
+    return processed.join(joinable(files).filter("row_count > 0"), "source_file", "left_semi")
 
 
 def transactions(spark: SparkSession, table: str = "transactions") -> DataFrame:

@@ -12,6 +12,7 @@ from remitspark.plans.checks import CHECKS
 from remitspark.plans.ingest import ingest, ingest_and_load
 from remitspark.session import new_work_folder
 from remitspark.streaming.arrivals import ingest_stream
+from remitspark.tables import store
 from tests import rowwise
 from tests.test_csv_files import HEADER, ROW, line
 from tests.test_validate import BREAKS, GOOD
@@ -184,6 +185,11 @@ def test_load_modes(spark, tmp_path):
     assert spark.table("tx_load").count() == total
     assert spark.table("tx_load").dtypes == [(f.name, f.dataType.simpleString()) for f in S.TRANSACTIONS.fields]
 
+    processed = sinks.read_processed(spark, f"{out}/processed")
+    names = store(processed.groupBy("source_file").agg(F.count("*").alias("row_count")), str(tmp_path / "names"))
+    plan = warehouse.only_files(processed, names)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(source_file" in plan
+
     more = {"late.csv": f"{HEADER}\n{ROW}\n".encode()}
     put(tmp_path / "raw", more)
     ingest(spark, str(tmp_path / "raw"), out, paths=[str(tmp_path / "raw" / "late.csv")])
