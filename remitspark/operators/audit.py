@@ -35,8 +35,8 @@ def audit_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-def partition_dates(summary: DataFrame) -> DataFrame:
+def partition_dates(summary: DataFrame, *more: str) -> DataFrame:
     """Date of each file's first valid row, which names the directory of the whole file."""
     return summary.filter(F.col("first_valid_ts").isNotNull()).select(
-        "source_file", F.col("first_valid_ts").cast("date").alias("partition_date")
+        "source_file", F.col("first_valid_ts").cast("date").alias("partition_date"), *more
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from remitspark import functions as R
 from remitspark import schema as S
+from remitspark.tables import lookup
 
 
 def check_rows(raw: DataFrame) -> DataFrame:
@@ -67,24 +68,30 @@ def first_valid(checked: DataFrame) -> DataFrame:
         .agg(
             F.min(F.when(F.col("fault").isNull(), F.col("row_pos"))).alias("first_valid_pos"),
             F.max("row_pos").alias("last_pos"),
+            F.count("*").alias("row_count"),
         )
         .filter(F.col("last_pos") > F.col("first_valid_pos"))
-        .select("key.source_file", F.col("key.clean_id").alias("match_id"), "first_valid_pos")
+        .select("key.source_file", F.col("key.clean_id").alias("match_id"), "first_valid_pos", "row_count")
     )
 
 
-def mark_duplicates(checked: DataFrame, repeated: DataFrame) -> DataFrame:
+def mark_duplicates(checked: DataFrame, repeated: DataFrame, small: bool | None = None) -> DataFrame:
     """Adds ``rejection_reason`` (null for valid rows).
 
     A duplicate outranks every rule but the missing id. Rows without an id get a match
     key of their own, with a leading space that no cleaned id has: they match nothing and
-    spread over all partitions. Rows of one hot id are on the left of a left join, which
-    adaptive execution may split; the other side holds one row per id.
+    spread over all partitions. ``small`` says whether a stored ``repeated`` fits a
+    broadcast. Without it the join is a plain left join, of which adaptive execution may
+    split the hot keys.
     """
     match_id = F.when(F.col("clean_id") == "", F.concat(F.lit(" "), F.col("row_pos"))).otherwise(
         F.col("clean_id")
     )
-    joined = checked.withColumn("match_id", match_id).join(repeated, ["source_file", "match_id"], "left")
+    keyed, keys = checked.withColumn("match_id", match_id), ["source_file", "match_id"]
+    if small is None:
+        joined = keyed.join(repeated.drop("row_count"), keys, "left")
+    else:
+        joined = lookup(keyed, repeated, keys, "row_count", F.col("row_pos"), small)
     reason = F.when(F.col("row_pos") > F.col("first_valid_pos"), S.DUPLICATE_TRANSACTION_ID).otherwise(
         F.col("fault")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from remitspark import schema as S
 from remitspark.operators.sinks import read_processed
 from remitspark.session import drop_work_folder, new_work_folder
-from remitspark.tables import joinable, store
+from remitspark.tables import fits_broadcast, lookup, store
 
 
 def create_transactions(
@@ -66,10 +66,14 @@ def _not_loaded(processed: DataFrame, rows: DataFrame) -> DataFrame:
 def only_files(processed: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of the files in ``source_file, row_count``.
 
-    The filter is on a column of its own, which makes Spark prune the directories of all
-    other files at run time.
+    With a broadcast, the filter on a column of its own makes Spark prune the directories
+    of all other files at run time.
     """
-    return processed.join(joinable(files).filter("row_count > 0"), "source_file", "left_semi")
+    if fits_broadcast(files):
+        return processed.join(F.broadcast(files.filter("row_count > 0")), "source_file", "left_semi")
+    wanted = files.withColumn("wanted", F.lit(True))
+    spread = F.xxhash64(*S.REQUIRED_COLUMNS)
+    return lookup(processed, wanted, ["source_file"], "row_count", spread).filter("wanted").drop("wanted")
 
 
 def transactions(spark: SparkSession, table: str = "transactions") -> DataFrame:

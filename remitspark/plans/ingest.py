@@ -13,7 +13,7 @@ from remitspark.operators import validate as V
 from remitspark.operators import warehouse
 from remitspark.session import drop_work_folder, new_work_folder
 from remitspark.sources.csv_files import read_raw, without_headers
-from remitspark.tables import fits_broadcast, joinable, store
+from remitspark.tables import fits_broadcast, lookup, store
 
 
 def ingest(
@@ -41,22 +41,23 @@ def ingest(
         checked, files = read_raw(spark, raw_dir, paths, folder, V.check_rows)
         repeated = store(V.first_valid(checked), f"{folder}/repeated")
         few_repeated = fits_broadcast(repeated)
-        if few_repeated:
-            marked = V.mark_duplicates(checked, F.broadcast(repeated))
-        else:
-            # Shuffles every row; stored, so that it happens once and not per output.
-            marked = store(V.mark_duplicates(checked, repeated.hint("merge")), f"{folder}/marked")
+        marked = V.mark_duplicates(checked, repeated, few_repeated)
+        if not few_repeated:
+            # Every row is shuffled; stored, so that it happens once and not per output.
+            marked = store(marked, f"{folder}/marked")
         summary = store(A.file_summary(marked), f"{folder}/summary")
-        dates = A.partition_dates(summary)
 
         valid = V.valid_rows(marked)
         if partition_by == "file":
+            dates = A.partition_dates(summary, "total_valid_records")
             few_files = fits_broadcast(dates)
-            valid = valid.join(F.broadcast(dates) if few_files else dates.hint("merge"), "source_file")
+            valid = lookup(
+                valid, dates, ["source_file"], "total_valid_records", F.col("row_pos"), few_files
+            )
             day, regroup = F.col("partition_date"), not (few_repeated and few_files)
         else:
             day, regroup = F.col("transaction_ts"), True
-        rejected = without_headers(V.rejected_rows(marked), summary)
+        rejected = without_headers(V.rejected_rows(marked), summary, "total_rejected_records")
 
         sinks.write_rejected(rejected, f"{out_dir}/rejected")
         sinks.write_processed(valid, day, f"{out_dir}/processed", regroup)

@@ -11,7 +11,7 @@ from remitspark.functions import is_csv
 from remitspark.session import new_work_folder
 from remitspark.sources import csv_text as C
 from remitspark.sources import records as L
-from remitspark.tables import joinable, store
+from remitspark.tables import lookup, store
 
 OPEN = "OPEN"
 
@@ -69,14 +69,15 @@ def read_raw(
         lines.groupBy("source_file").agg(
             F.min_by("line", "row_pos").alias("header_line"),
             F.array_sort(F.collect_set(kind)).alias("kinds"),
+            F.count("*").alias("line_count"),
         ),
         f"{folder}/profile",
     )
     is_quoted = F.array_contains("kinds", OPEN)
     plain_files = profile.filter(~is_quoted).select(
-        "source_file", "header_line", F.get("kinds", F.lit(0)).alias("fault")
+        "source_file", "line_count", "header_line", F.get("kinds", F.lit(0)).alias("fault")
     )
-    quoted_names = profile.filter(is_quoted).select("source_file")
+    quoted_names = profile.filter(is_quoted).select("source_file", "line_count")
     spanning = not quoted_names.isEmpty()
 
     headers = plain_files
@@ -89,32 +90,36 @@ def read_raw(
         F.concat(F.lit(S.MISSING_REQUIRED_COLUMNS + ": "), F.array_join("missing", ", ")),
     )
     files = store(
-        checked.select("source_file", "positions", F.coalesce(missing, F.col("fault")).alias("file_error")),
+        checked.select("source_file", "line_count", "positions", F.coalesce(missing, F.col("fault")).alias("file_error")),
         f"{folder}/files",
     )
 
-    readable = files.filter(F.col("file_error").isNull()).select("source_file", "positions")
-    plain = readable.join(quoted_names, "source_file", "left_anti") if spanning else readable
+    readable = files.filter(F.col("file_error").isNull()).select("source_file", "line_count", "positions")
+    plain = readable.join(quoted_names.select("source_file"), "source_file", "left_anti") if spanning else readable
     rows = _bind(lines, plain)
     if spanning:
-        rows = rows.unionByName(_bind(records, readable.join(quoted_names, "source_file", "left_semi")))
+        rows = rows.unionByName(_bind(records, readable.join(quoted_names.select("source_file"), "source_file", "left_semi")))
     return store(derive(rows), f"{folder}/rows"), files.select("source_file", "file_error")
 
 
-def without_headers(rows: DataFrame, first_positions: DataFrame) -> DataFrame:
-    """Drops the first row of each file; ``first_positions`` is ``source_file, first_pos``."""
+def without_headers(rows: DataFrame, first_positions: DataFrame, weight: str) -> DataFrame:
+    """Drops the first row of each file.
+
+    ``first_positions`` has ``source_file, first_pos`` and the file's number of ``rows``.
+    """
+    firsts = first_positions.select("source_file", "first_pos", weight)
     return (
-        rows.join(joinable(first_positions.select("source_file", "first_pos")), "source_file")
+        lookup(rows, firsts, ["source_file"], weight, F.col("row_pos"))
         .filter(F.col("row_pos") > F.col("first_pos"))
         .drop("first_pos")
     )
 
 
 def _bind(lines: DataFrame, files: DataFrame) -> DataFrame:
+    filled = lines.withColumn("line", C.trim_line_end(F.col("line"))).filter(F.col("line") != "")
     values = (
-        lines.withColumn("line", C.trim_line_end(F.col("line")))
-        .filter(F.col("line") != "")
-        .join(joinable(files), "source_file")
+        lookup(filled, files, ["source_file"], "line_count", F.col("row_pos"))
+        .filter(F.col("positions").isNotNull())
         .select("source_file", "row_pos", "positions", C.fields(F.col("line")).alias("v"))
     )
     bound = [
@@ -127,21 +132,32 @@ def _spanning_records(
     lines: DataFrame, names: DataFrame, folder: str
 ) -> tuple[DataFrame, DataFrame]:
     """Whole records of the files in which some record spans lines, and those files' headers."""
-    mine = store(lines.join(joinable(names), "source_file", "left_semi"), f"{folder}/quoted_lines")
-    resolved = store(L.resolve_lines(mine), f"{folder}/resolved")
-    overlong = store(L.overlong_files(resolved), f"{folder}/overlong")
-    records = store(
-        L.join_lines(resolved.join(joinable(overlong), "source_file", "left_anti")), f"{folder}/records"
-    )
-    record = C.trim_line_end(F.col("line"))
+
+    def flagged(rows: DataFrame, files: DataFrame) -> DataFrame:
+        marked = files.select("source_file", "line_count", F.lit(True).alias("flag"))
+        return lookup(rows, marked, ["source_file"], "line_count", F.col("row_pos"))
+
+    mine = flagged(lines, names).filter("flag").drop("flag")
+    resolved = store(L.resolve_lines(store(mine, f"{folder}/quoted_lines")), f"{folder}/resolved")
+    overlong = store(L.overlong_files(resolved).join(names, "source_file"), f"{folder}/overlong")
+    bounded = flagged(resolved, overlong).filter(F.col("flag").isNull()).drop("flag")
+    records = store(L.join_lines(bounded), f"{folder}/records")
+
+    fault = C.record_fault(C.trim_line_end(F.col("line"))).alias("fault")
     faults = (
-        records.select("source_file", C.record_fault(record).alias("fault"))
-        .unionByName(overlong.withColumn("fault", F.lit(S.FIELD_TOO_LARGE)))
+        records.select("source_file", fault)
+        .unionByName(overlong.select("source_file", F.lit(S.FIELD_TOO_LARGE).alias("fault")))
         .groupBy("source_file")
         .agg(F.min("fault").alias("fault"))
     )
-    firsts = records.groupBy("source_file").agg(F.min("row_pos").alias("row_pos"))
-    header_lines = records.join(joinable(store(firsts, f"{folder}/firsts")), ["source_file", "row_pos"]).select(
-        "source_file", F.col("line").alias("header_line")
+    firsts = store(
+        records.groupBy("source_file").agg(F.min("row_pos").alias("first_pos"), F.count("*").alias("line_count")),
+        f"{folder}/firsts",
+    )
+    header_lines = (
+        lookup(records, firsts, ["source_file"], "line_count", F.col("row_pos"))
+        .filter(F.col("row_pos") == F.col("first_pos"))
+        .select("source_file", F.col("line").alias("header_line"))
     )
-    return records, faults.join(header_lines, "source_file", "left").select("source_file", "header_line", "fault")
+    headers = names.join(faults, "source_file").join(header_lines, "source_file", "left")
+    return records, headers.select("source_file", "line_count", "header_line", "fault")

@@ -6,10 +6,13 @@ before one of them is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from remitspark.session import conf_bytes
 
+HEAVY_SHARE = 10_000
+HEAVY_KEY_CHARS = 1_000
+
 
 def store(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
@@ -34,9 +37,36 @@ def fits_broadcast(df: DataFrame) -> bool:
     return total <= limit
 
 
-def joinable(df: DataFrame) -> DataFrame:
-    """A stored table, hinted for the join: broadcast if it fits, else a shuffled join.
+def lookup(
+    rows: DataFrame, table: DataFrame, keys: list[str], weight: str, spread: Column, small: bool | None = None
+) -> DataFrame:
+    """Left join of ``rows`` to a stored table with one row per key and its number of rows.
 
-    In the shuffled join adaptive execution splits hot keys of the large side.
+    A table under the broadcast threshold is broadcast. Else the rows are shuffled by key,
+    apart from rows of heavy keys, those with more than a ten-thousandth of all rows. There
+    are fewer than ten thousand of them, so they are broadcast at any scale; their rows get
+    a shuffle key of their own, a space and ``spread``, which no key of the table looks like.
     """
-    return F.broadcast(df) if fits_broadcast(df) else df.hint("merge")
+    if fits_broadcast(table) if small is None else small:
+        return rows.join(F.broadcast(table.drop(weight)), keys, "left")
+    values = [c for c in table.columns if c not in (*keys, weight)]
+    *first, last = keys
+    total = table.agg(F.sum(weight).alias("rows")).first()["rows"] or 0
+    is_heavy = (F.col(weight) * HEAVY_SHARE > total) & (F.length(last) <= HEAVY_KEY_CHARS)
+
+    heavy = table.filter(is_heavy).select(
+        *keys, F.lit(True).alias("is_heavy"), *[F.col(c).alias(f"heavy_{c}") for c in values]
+    )
+    light = table.filter(~is_heavy).select(
+        *first, F.col(last).alias("light_key"), *[F.col(c).alias(f"light_{c}") for c in values]
+    )
+    own_key = F.when(F.col("is_heavy"), F.concat(F.lit(" "), spread)).otherwise(F.col(last))
+    joined = (
+        rows.join(F.broadcast(heavy), keys, "left")
+        .withColumn("light_key", own_key)
+        .join(light.hint("merge"), [*first, "light_key"], "left")
+    )
+    found = [
+        F.when(F.col("is_heavy"), F.col(f"heavy_{c}")).otherwise(F.col(f"light_{c}")).alias(c) for c in values
+    ]
+    return joined.select(*rows.columns, *found)

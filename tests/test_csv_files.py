@@ -23,9 +23,9 @@ def line(**values: str) -> str:
 def read_back(spark, raw_dir):
     """Rows per file in order, and the file errors."""
     rows, files = csv_files.read_raw(spark, str(raw_dir))
-    firsts = rows.groupBy("source_file").agg(F.min("row_pos").alias("first_pos"))
+    firsts = rows.groupBy("source_file").agg(F.min("row_pos").alias("first_pos"), F.count("*").alias("n"))
     out = {}
-    for r in csv_files.without_headers(rows, firsts).orderBy("source_file", "row_pos").collect():
+    for r in csv_files.without_headers(rows, firsts, "n").orderBy("source_file", "row_pos").collect():
         out.setdefault(r.source_file, []).append({c: r[c] for c in S.REQUIRED_COLUMNS})
     return out, {r.source_file: r.file_error for r in files.collect()}
 
@@ -152,7 +152,9 @@ def test_a_large_file_is_read_by_many_tasks(spark, conf, tmp_path):
 def test_nothing_is_shuffled_on_the_way_to_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
     lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
-    files = spark.createDataFrame([("a.csv", list(range(11)))], "source_file string, positions array<int>")
+    files = spark.createDataFrame(
+        [("a.csv", 2, list(range(11)))], "source_file string, line_count bigint, positions array<int>"
+    )
     plan = csv_files._bind(lines, files)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 

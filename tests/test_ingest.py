@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitspark import schema as S
+from remitspark import tables
 from remitspark.operators import sinks, warehouse
 from remitspark.plans.checks import CHECKS
 from remitspark.plans.ingest import ingest, ingest_and_load
@@ -95,9 +96,11 @@ def verify(spark, out, files):
     return valid
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_ingest(spark, conf, tmp_path, threshold):
+@pytest.mark.parametrize("threshold, share", [("10MB", 10_000), ("-1", 10_000), ("-1", 12), ("-1", 0)])
+def test_ingest(spark, conf, monkeypatch, tmp_path, threshold, share):
+    # No broadcast of whole tables: every key is heavy, then some, then none.
     conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    monkeypatch.setattr(tables, "HEAVY_SHARE", share)
     files = sample_files()
     put(tmp_path / "raw", files)
     out = str(tmp_path / "out")
