@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from remitspark import schema as S
 from remitspark.functions import is_csv
-from remitspark.session import new_work_folder
+from remitspark.session import new_work_folder, qualified
 from remitspark.sources import csv_text as C
 from remitspark.sources import records as L
 from remitspark.tables import lookup, store
 
 OPEN = "OPEN"
+FEW_FILES = 1000
 
 
 def admit(paths: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def read_raw(
     :func:`without_headers` removes it.
     """
     folder = folder or new_work_folder(spark, "raw")
-    lines = L.scan_lines(spark, paths or [raw_dir], raw_dir)
+    lines = L.scan_lines(spark, paths or [raw_dir])
 
     # collect_set holds at most the three kinds; being an object aggregate it also lets
     # min_by keep its text buffer in a hash map instead of sorting every line by file.
@@ -66,7 +68,7 @@ def read_raw(
         C.record_fault(C.trim_line_end(F.col("line")))
     )
     profile = store(
-        lines.groupBy("source_file").agg(
+        lines.groupBy("path").agg(
             F.min_by("line", "row_pos").alias("header_line"),
             F.array_sort(F.collect_set(kind)).alias("kinds"),
             F.count("*").alias("line_count"),
@@ -75,9 +77,9 @@ def read_raw(
     )
     is_quoted = F.array_contains("kinds", OPEN)
     plain_files = profile.filter(~is_quoted).select(
-        "source_file", "line_count", "header_line", F.get("kinds", F.lit(0)).alias("fault")
+        "path", "line_count", "header_line", F.get("kinds", F.lit(0)).alias("fault")
     )
-    quoted_names = profile.filter(is_quoted).select("source_file", "line_count")
+    quoted_names = profile.filter(is_quoted).select("path", "line_count")
     spanning = not quoted_names.isEmpty()
 
     headers = plain_files
@@ -90,15 +92,21 @@ def read_raw(
         F.concat(F.lit(S.MISSING_REQUIRED_COLUMNS + ": "), F.array_join("missing", ", ")),
     )
     files = store(
-        checked.select("source_file", "line_count", "positions", F.coalesce(missing, F.col("fault")).alias("file_error")),
+        checked.select(
+            "path",
+            "line_count",
+            _below(qualified(spark, raw_dir), F.col("path")).alias("source_file"),
+            "positions",
+            F.coalesce(missing, F.col("fault")).alias("file_error"),
+        ),
         f"{folder}/files",
     )
 
-    readable = files.filter(F.col("file_error").isNull()).select("source_file", "line_count", "positions")
-    plain = readable.join(quoted_names.select("source_file"), "source_file", "left_anti") if spanning else readable
+    readable = files.filter(F.col("file_error").isNull()).select("path", "line_count", "source_file", "positions")
+    plain = readable.join(quoted_names.select("path"), "path", "left_anti") if spanning else readable
     rows = _bind(lines, plain)
     if spanning:
-        rows = rows.unionByName(_bind(records, readable.join(quoted_names.select("source_file"), "source_file", "left_semi")))
+        rows = rows.unionByName(_bind(records, readable.join(quoted_names.select("path"), "path", "left_semi")))
     return store(derive(rows), f"{folder}/rows"), files.select("source_file", "file_error")
 
 
@@ -118,7 +126,7 @@ def without_headers(rows: DataFrame, first_positions: DataFrame, weight: str) ->
 def _bind(lines: DataFrame, files: DataFrame) -> DataFrame:
     filled = lines.withColumn("line", C.trim_line_end(F.col("line"))).filter(F.col("line") != "")
     values = (
-        lookup(filled, files, ["source_file"], "line_count", F.col("row_pos"))
+        lookup(filled, files, ["path"], "line_count", F.col("row_pos"))
         .filter(F.col("positions").isNotNull())
         .select("source_file", "row_pos", "positions", C.fields(F.col("line")).alias("v"))
     )
@@ -128,36 +136,48 @@ def _bind(lines: DataFrame, files: DataFrame) -> DataFrame:
     return values.select("source_file", "row_pos", *bound)
 
 
+def _below(root: str, path: Column) -> Column:
+    """Decoded path relative to ``root``. A plus sign in a path is a plus sign."""
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, "^file:/+", "file:/")
+    return F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 2**31 - 1)).otherwise(path)
+
+
 def _spanning_records(
     lines: DataFrame, names: DataFrame, folder: str
 ) -> tuple[DataFrame, DataFrame]:
     """Whole records of the files in which some record spans lines, and those files' headers."""
 
     def flagged(rows: DataFrame, files: DataFrame) -> DataFrame:
-        marked = files.select("source_file", "line_count", F.lit(True).alias("flag"))
-        return lookup(rows, marked, ["source_file"], "line_count", F.col("row_pos"))
-
-    mine = flagged(lines, names).filter("flag").drop("flag")
+        marked = files.select("path", "line_count", F.lit(True).alias("flag"))
+        return lookup(rows, marked, ["path"], "line_count", F.col("row_pos"))
+
+    some = names.limit(FEW_FILES + 1).collect()
+    if len(some) <= FEW_FILES:
+        # Only these files are read again.
+        mine = L.scan_lines(lines.sparkSession, [L.literal_path(unquote(r.path)) for r in some])
+    else:
+        mine = flagged(lines, names).filter("flag").drop("flag")
     resolved = store(L.resolve_lines(store(mine, f"{folder}/quoted_lines")), f"{folder}/resolved")
-    overlong = store(L.overlong_files(resolved).join(names, "source_file"), f"{folder}/overlong")
+    overlong = store(L.overlong_files(resolved).join(names, "path"), f"{folder}/overlong")
     bounded = flagged(resolved, overlong).filter(F.col("flag").isNull()).drop("flag")
     records = store(L.join_lines(bounded), f"{folder}/records")
 
     fault = C.record_fault(C.trim_line_end(F.col("line"))).alias("fault")
     faults = (
-        records.select("source_file", fault)
-        .unionByName(overlong.select("source_file", F.lit(S.FIELD_TOO_LARGE).alias("fault")))
-        .groupBy("source_file")
+        records.select("path", fault)
+        .unionByName(overlong.select("path", F.lit(S.FIELD_TOO_LARGE).alias("fault")))
+        .groupBy("path")
         .agg(F.min("fault").alias("fault"))
     )
     firsts = store(
-        records.groupBy("source_file").agg(F.min("row_pos").alias("first_pos"), F.count("*").alias("line_count")),
+        records.groupBy("path").agg(F.min("row_pos").alias("first_pos"), F.count("*").alias("line_count")),
         f"{folder}/firsts",
     )
     header_lines = (
-        lookup(records, firsts, ["source_file"], "line_count", F.col("row_pos"))
+        lookup(records, firsts, ["path"], "line_count", F.col("row_pos"))
         .filter(F.col("row_pos") == F.col("first_pos"))
-        .select("source_file", F.col("line").alias("header_line"))
+        .select("path", F.col("line").alias("header_line"))
     )
-    headers = names.join(faults, "source_file").join(header_lines, "source_file", "left")
-    return records, headers.select("source_file", "line_count", "header_line", "fault")
+    headers = names.join(faults, "path").join(header_lines, "path", "left")
+    return records, headers.select("path", "line_count", "header_line", "fault")

@@ -6,17 +6,19 @@ a line break inside quotes is put together again from the lines, also across spl
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from remitspark import schema as S
-from remitspark.session import conf_bytes, qualified
+from remitspark.session import conf_bytes
 from remitspark.sources import csv_text as C
 
 
-def scan_lines(spark: SparkSession, paths: list[str], raw_dir: str) -> DataFrame:
-    """``source_file, block, row_pos, line`` for every line of the admitted files.
+def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, block, row_pos, line`` for every line of the admitted files.
 
-    ``source_file`` is the path below ``raw_dir``. ``row_pos`` grows with the position in
+    ``path`` is the file as Spark names it. ``row_pos`` grows with the position in
     the file: the number of the split, then the running number within the task. Two splits
     of a file start at least ``quantum`` bytes apart, hence never share a number.
     """
@@ -31,13 +33,13 @@ def scan_lines(spark: SparkSession, paths: list[str], raw_dir: str) -> DataFrame
         .option("recursiveFileLookup", True)
         .text(paths)
         .select(
-            _below(qualified(spark, raw_dir), F.col("_metadata.file_path")).alias("source_file"),
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             in_task.alias("in_task"),
             F.col("value").alias("line"),
         )
         .select(
-            "source_file",
+            "path",
             "block",
             (F.shiftleft(F.floor(F.col("block") / quantum).cast("long"), 33) + F.col("in_task")).alias("row_pos"),
             "line",
@@ -45,11 +47,9 @@ def scan_lines(spark: SparkSession, paths: list[str], raw_dir: str) -> DataFrame
     )
 
 
-def _below(root: str, file_path: Column) -> Column:
-    """Decoded path below ``root``. A plus sign in a path is a plus sign."""
-    path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    path = F.regexp_replace(path, "^file:/+", "file:/")
-    return F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 2**31 - 1)).otherwise(path)
+def literal_path(path: str) -> str:
+    """Keeps ``[x]`` and the like in a file name from being read as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def _with_entry_state(rows: DataFrame, order: W, opens: str, stays: str) -> DataFrame:
@@ -81,8 +81,8 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
     Two levels: lines within a split, then one summary row per split within its file. No
     task holds more than one split's lines or one file's split summaries.
     """
-    in_split = W.partitionBy("source_file", "block").orderBy("row_pos")
-    in_file = W.partitionBy("source_file").orderBy("block")
+    in_split = W.partitionBy("path", "block").orderBy("row_pos")
+    in_file = W.partitionBy("path").orderBy("block")
 
     marked = lines.withColumns(
         {
@@ -95,7 +95,7 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
     def end_state(start: str) -> Column:
         return F.when(F.col(start) == 0, F.col("opens")).otherwise(F.col("stays"))
 
-    splits = local.groupBy("source_file", "block").agg(
+    splits = local.groupBy("path", "block").agg(
         F.max_by(end_state("if_out"), F.col("row_pos")).alias("opens"),
         F.max_by(end_state("if_in"), F.col("row_pos")).alias("stays"),
         F.max(F.when(F.col("if_out") == 0, F.col("row_pos"))).alias("last_if_out"),
@@ -105,7 +105,7 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
         _with_entry_state(splits, in_file, "opens", "stays")
         .withColumn("last_record", F.when(F.col("if_out") == 0, F.col("last_if_out")).otherwise(F.col("last_if_in")))
         .select(
-            "source_file",
+            "path",
             "block",
             F.col("if_out").alias("split_inside"),
             F.last("last_record", ignorenulls=True)
@@ -115,7 +115,7 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
     )
     up_to_here = in_split.rowsBetween(W.unboundedPreceding, 0)
     return (
-        local.join(starts, ["source_file", "block"])
+        local.join(starts, ["path", "block"])
         .withColumn("inside", F.when(F.col("split_inside") == 0, F.col("if_out")).otherwise(F.col("if_in")))
         .withColumn(
             "record_pos",
@@ -127,7 +127,7 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
         # Lines without a quote that start inside one belong wholly to its field; the
         # number of quote-bearing lines so far tells such runs apart.
         .withColumn("run", F.count(F.when(C.has_quote(F.col("line")), 1)).over(up_to_here))
-        .select("source_file", "block", "row_pos", "record_pos", "inside", "opens", "run", "line")
+        .select("path", "block", "row_pos", "record_pos", "inside", "opens", "run", "line")
     )
 
 
@@ -138,25 +138,25 @@ def overlong_files(resolved: DataFrame) -> DataFrame:
     """
     whole_lines = resolved.filter((F.col("inside") == 1) & ~C.has_quote(F.col("line")))
     return (
-        whole_lines.groupBy("source_file", "block", "run")
+        whole_lines.groupBy("path", "block", "run")
         .agg(F.sum(F.length("line") + 1).alias("chars"))
         .filter(F.col("chars") > S.MAX_FIELD_CHARS)
-        .select("source_file")
+        .select("path")
         .distinct()
     )
 
 
 def join_lines(resolved: DataFrame) -> DataFrame:
-    """``source_file, row_pos, line`` with one row per record.
+    """``path, row_pos, line`` with one row per record.
 
     Only lines of records that span lines are shuffled, grouped by record.
     """
     spans = (F.col("inside") == 1) | (F.col("opens") == 1)
-    single = resolved.filter(~spans).select("source_file", "row_pos", "line")
+    single = resolved.filter(~spans).select("path", "row_pos", "line")
     joined = (
         resolved.filter(spans)
-        .groupBy("source_file", F.col("record_pos").alias("row_pos"))
+        .groupBy("path", F.col("record_pos").alias("row_pos"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col("row_pos").alias("p"), F.col("line")))).alias("parts"))
-        .select("source_file", "row_pos", F.array_join(F.col("parts.line"), "\n").alias("line"))
+        .select("path", "row_pos", F.array_join(F.col("parts.line"), "\n").alias("line"))
     )
     return single.unionByName(joined)

@@ -7,12 +7,12 @@ no state of its own besides the list of files it has seen.
 from __future__ import annotations
 
 import hashlib
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from remitspark.plans.ingest import ingest
+from remitspark.sources.records import literal_path
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -48,7 +48,7 @@ def ingest_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # At most max_files names.
-        paths = [_literal_path(row.path) for row in batch.collect()]
+        paths = [literal_path(row.path) for row in batch.collect()]
         if paths:
             ingest(batch.sparkSession, raw_dir, out_dir, paths, partition_by, f"{stream_id}-{batch_id:08d}")
 
@@ -59,8 +59,3 @@ def ingest_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-
-def _literal_path(path: str) -> str:
-    """Keeps ``[x]`` and the like in a file name from being read as a pattern."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

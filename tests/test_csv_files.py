@@ -80,6 +80,7 @@ FILES = {
     "UPPER.CSV": f"{HEADER}\n{ROW}\n".encode(),
     "my f+g%20.csv": f"{HEADER}\n{ROW}\n".encode(),
     "deep/er/[x]{y}.csv": f"{HEADER}\n{ROW}\n".encode(),
+    "odd/*[n]a {b}?+%41 c.csv": f'{HEADER}\n{line(region='"1' + chr(10) + '2"')}\n'.encode(),
     "accents.csv": f"{HEADER}\n{line(region='Zürich,')}\n{line(merchant_id='日本')}\n".encode(),
     "lone_cr.csv": f"{HEADER}\n{line(region='a')}\r{ROW}\n".encode(),
     "quoted_cr.csv": (HEADER + "\n" + line(region='"a\rb"') + "\n").encode(),
@@ -144,16 +145,17 @@ def test_files_cut_into_splits(spark, conf, tmp_path, split):
 def test_a_large_file_is_read_by_many_tasks(spark, conf, tmp_path):
     conf("spark.sql.files.maxPartitionBytes", "4096")
     (tmp_path / "big.csv").write_text(HEADER + "\n" + (ROW + "\n") * 2000)
-    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    lines = records.scan_lines(spark, [str(tmp_path)])
     assert lines.rdd.getNumPartitions() > 20
     assert lines.select("row_pos").distinct().count() == 2001
 
 
 def test_nothing_is_shuffled_on_the_way_to_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
-    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    lines = records.scan_lines(spark, [str(tmp_path)])
     files = spark.createDataFrame(
-        [("a.csv", 2, list(range(11)))], "source_file string, line_count bigint, positions array<int>"
+        [("a.csv", 2, "a.csv", list(range(11)))],
+        "path string, line_count bigint, source_file string, positions array<int>",
     )
     plan = csv_files._bind(lines, files)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
@@ -161,9 +163,9 @@ def test_nothing_is_shuffled_on_the_way_to_rows(spark, tmp_path):
 
 def test_profile_does_not_sort_the_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROW}\n")
-    lines = records.scan_lines(spark, [str(tmp_path)], str(tmp_path))
+    lines = records.scan_lines(spark, [str(tmp_path)])
     plan = (
-        lines.groupBy("source_file")
+        lines.groupBy("path")
         .agg(F.min_by("line", "row_pos"), F.collect_set(csv_text.record_fault(F.col("line"))))
         ._jdf.queryExecution()
         .executedPlan()
@@ -172,9 +174,11 @@ def test_profile_does_not_sort_the_lines(spark, tmp_path):
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_shuffled_joins_give_the_same(spark, conf, tmp_path):
+def test_shuffled_joins_and_many_files_give_the_same(spark, conf, monkeypatch, tmp_path):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    check(spark, tmp_path, {n: FILES[n] for n in ("plain.csv", "swapped.csv", "newline.csv", "lacks_region.csv")})
+    monkeypatch.setattr(csv_files, "FEW_FILES", 0)
+    names = ("plain.csv", "swapped.csv", "newline.csv", "newline_in_header.csv", "unclosed.csv", "lacks_region.csv")
+    check(spark, tmp_path, {n: FILES[n] for n in names})
 
 
 def test_header_check(spark):
