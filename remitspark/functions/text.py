@@ -9,8 +9,13 @@ WHITESPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 
 
 def clean(c: Column) -> Column:
-    """Null becomes '', outer Unicode whitespace goes."""
-    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITESPACE))
+    """Null becomes '', outer Unicode whitespace goes.
+
+    Text that starts and ends with a printing ASCII character, as most does, is not searched.
+    """
+    text = F.coalesce(c, F.lit(""))
+    bare = text.between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(bare, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def clean_upper(c: Column) -> Column:

@@ -52,4 +52,5 @@ def timestamp_of(text: Column) -> Column:
 
 
 def iso_text(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    """``2026-01-05T03:04:05`` for a ``timestamp_ntz``."""
+    return F.replace(c.cast("string"), F.lit(" "), F.lit("T"))

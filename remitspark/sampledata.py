@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from remitspark import schema as S
+from remitspark.functions import iso_text
 
 ORDERS_PER_ROUND = 524288  # eight files of 65,536 rows each
 
@@ -49,15 +50,22 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("row_pos")
     fault = k % 97
     file_number = F.floor(k / ORDERS_PER_ROUND).cast("long") * 8 + k % 8
-    ts = F.col("transaction_ts")
+    iso = iso_text(F.col("transaction_ts"))
     rows = transactions(spark, sf_dir).withColumn(
         "row_pos", F.substring("transaction_id", 2, 20).cast("long")
-    )
+    ).withColumn("iso", iso)
+
+    def part(start: int, length: int) -> Column:
+        return F.substring("iso", start, length)
+
+    year, month, day, hour, minute = part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2)
+    hour12 = F.lpad(((hour.cast("int") + 11) % 12 + 1).cast("string"), 2, "0")
+    half = F.when(hour < "12", " AM").otherwise(" PM")
     ts_text = (
-        F.when(k % 4 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(k % 4 == 1, F.date_format(ts, "dd-MM-yyyy HH:mm"))
-        .when(k % 4 == 2, F.date_format(ts, "MM/dd/yyyy hh:mm a"))
-        .otherwise(F.date_format(ts, "yyyy/MM/dd"))
+        F.when(k % 4 == 0, F.col("iso"))
+        .when(k % 4 == 1, F.format_string("%s-%s-%s %s:%s", day, month, year, hour, minute))
+        .when(k % 4 == 2, F.format_string("%s/%s/%s %s:%s%s", month, day, year, hour12, minute, half))
+        .otherwise(F.format_string("%s/%s/%s", year, month, day))
     )
     return rows.select(
         F.concat(F.lit("batch_"), file_number, F.lit(".csv")).alias("source_file"),

@@ -151,7 +151,8 @@ def test_stored_amount_is_rounded_once(spark):
 
 def test_text_functions(spark):
     space = "　 \x1f\xa0 "
-    texts = [None, "", space, f"{space}a b{space}", "ınr", "ſuccess "]
+    texts = [None, "", space, f"{space}a b{space}", "ınr", "ſuccess ", "~", "~ ", " ~~", "!", "é\x85", "a\u2003", "日本"]
+    texts += [w + "a" + v for w in "\t \x1c\x85\u3000a~!" for v in "\n \x1f\xa0\u2028z~!"]
     c = F.col("c")
     got = evaluate(spark, texts, R.clean(c), R.clean_upper(c), R.blank_to_null(c))
     want = [((t or "").strip(), (t or "").strip().upper(), (t or "").strip() or None) for t in texts]
