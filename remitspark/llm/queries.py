@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitspark.llm import packing
+from remitspark.llm import minhash_dedup, packing
 from remitspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,13 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer)
 
 
-QUERIES: dict[str, Query] = {"op1_pack_sequences": op1_pack_sequences}
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+QUERIES: dict[str, Query] = {
+    "op1_pack_sequences": op1_pack_sequences,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+}
 
 ORACLE_SQL: dict[str, str] = {}

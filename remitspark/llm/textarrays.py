@@ -121,17 +121,30 @@ def row_ranges(rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(rows, np.arange(n), "left"), np.searchsorted(rows, np.arange(n), "right")
 
 
-def pair_shingles(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of neighbouring words of a row and their rows; a row of one word gives that word."""
-    if len(hashes) == 0:
+def shingles(hashes: np.ndarray, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of runs of ``words`` neighbouring words of a row, and their rows.
+
+    A row with fewer words gives one shingle of all of them.
+    """
+    n = len(hashes)
+    if n == 0:
         return hashes, rows
-    same = rows[1:] == rows[:-1]
-    rotated = (hashes << np.uint64(29)) | (hashes >> np.uint64(35))
-    pairs = mix(rotated[:-1] * np.uint64(3) + hashes[1:])[same]
-    alone = np.ones(len(rows), dtype=bool)
-    alone[1:] &= ~same
-    alone[:-1] &= ~same
-    values = np.concatenate([pairs, mix(hashes[alone] ^ BASE)])
-    where = np.concatenate([rows[:-1][same], rows[alone]])
+    joined = mix(hashes ^ BASE)
+    left = np.searchsorted(rows, rows, "right") - np.arange(n)  # words from here to the row's end
+    is_head = np.ones(n, dtype=bool)
+    is_head[1:] = rows[1:] != rows[:-1]
+    whole = np.where(is_head & (left < words), left, 0)
+    values, where = [joined[whole == 1]], [rows[whole == 1]]
+    for k in range(1, words):
+        rotated = (joined << np.uint64(29)) | (joined >> np.uint64(35))
+        joined = mix(rotated[: n - k] * np.uint64(3) + hashes[k:])
+        if k + 1 < words:
+            short = whole[: n - k] == k + 1
+            values.append(joined[short])
+            where.append(rows[: n - k][short])
+    full = left[: len(joined)] >= words
+    values.append(joined[full])
+    where.append(rows[: len(joined)][full])
+    where = np.concatenate(where)
     order = np.argsort(where, kind="stable")
-    return values[order], where[order]
+    return np.concatenate(values)[order], where[order]
