@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitspark.llm import minhash_dedup, packing
+from remitspark.llm import line_dedup, minhash_dedup, mixing, packing
 from remitspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,13 +18,25 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "clean_text", "n_lines", "n_removed")
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
+    "op2_line_dedup": op2_line_dedup,
+    "op4_mix_sources": op4_mix_sources,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}
