@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from remitspark.llm import line_dedup, minhash_dedup, mixing, packing
+from remitspark.llm import line_dedup, minhash_dedup, mixing, packing, substring_dedup
 from remitspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,17 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "clean_text", "removed", "n_removed")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_line_dedup": op2_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}

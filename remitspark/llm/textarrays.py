@@ -148,3 +148,49 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, words: int) -> tuple[np.ndarr
     where = np.concatenate(where)
     order = np.argsort(where, kind="stable")
     return np.concatenate(values)[order], where[order]
+
+
+class Passages:
+    """Lines of a batch, cut at places that depend on the words nearby alone.
+
+    A cut stands before a word whose pair with the next word has a smaller hash than the pairs
+    of the ``reach`` words before and after it in the line. So a passage that is copied into
+    the middle of another line has the same cuts there, but for its edges.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, reach: int):
+        self.word_start, self.word_end, row = word_bounds(data, offsets)
+        hashes = Hasher(data)(self.word_start, self.word_end)
+        n = len(hashes)
+        line = np.searchsorted(np.flatnonzero(data == 10), self.word_start) + row  # grows with every line and row
+        order = mix(hashes[:-1] * np.uint64(3) + hashes[1:]) if n else hashes
+        order = np.concatenate([order, hashes[-1:]])
+        head = np.ones(n, dtype=bool)
+        head[1:] = line[1:] != line[:-1]
+        cut = np.ones(n, dtype=bool)
+        for k in range(1, reach + 1):
+            near = line[k:] == line[:-k]
+            cut[k:] &= near & (order[k:] < order[:-k])
+            cut[:-k] &= near & (order[:-k] < order[k:])
+            cut[:k] = False
+            cut[max(n - k, 0) :] = False
+        self.first = np.flatnonzero(cut | head)  # number of the first word of each passage
+        self.after = np.append(self.first[1:], n)
+        self.row = row[self.first] if n else row
+        # Whether the passage that follows is in the same line.
+        self.in_line = np.append(line[self.first[1:]] == line[self.first[:-1]], False)[: len(self.first)]
+        up, down = _power_tables(n)
+        self.digests = []
+        for salt in (BASE, ~BASE):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + salt) * up[:n], dtype=np.uint64)])
+            spread = (sums[self.after] - sums[self.first]) * down[self.first]
+            self.digests.append(mix(spread + (self.after - self.first).astype(np.uint64)))
+
+    @property
+    def words(self) -> np.ndarray:
+        return self.after - self.first
+
+
+def char_positions(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of code points before each byte, over the whole batch."""
+    return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
