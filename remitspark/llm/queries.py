@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import line_dedup, minhash_dedup, mixing, packing, substring_dedup
-from remitspark.llm.common import table
+from remitspark.llm import line_dedup, minhash_dedup, mixing, packing, substring_dedup, warc_zip
+from remitspark.llm.common import table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,20 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = work_folder(spark, "archives")
+    warc_zip.write_archives(warc_zip.roles(pages, "page_id", "html", "url"), folder)
+    kind = pages.schema["page_id"].dataType
+    return warc_zip.read_archives(spark, folder).select(
+        F.col("page_id").cast(kind),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind),
+    )
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -41,8 +55,9 @@ QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_line_dedup": op2_line_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op5_warc_round_trip": warc_zip.ORACLE}
