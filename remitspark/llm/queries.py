@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import embedding_dedup, line_dedup, minhash_dedup, mixing, packing, substring_dedup, warc_zip
+from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, substring_dedup, warc_zip
 from remitspark.llm.common import table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_versions(table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,

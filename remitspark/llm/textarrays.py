@@ -163,8 +163,9 @@ class Passages:
         hashes = Hasher(data)(self.word_start, self.word_end)
         n = len(hashes)
         line = np.searchsorted(np.flatnonzero(data == 10), self.word_start) + row  # grows with every line and row
-        order = mix(hashes[:-1] * np.uint64(3) + hashes[1:]) if n else hashes
-        order = np.concatenate([order, hashes[-1:]])
+        order = mix(hashes)  # the last word of a line has no next one
+        paired = line[1:] == line[:-1]
+        order[:-1][paired] = mix(hashes[:-1] * np.uint64(3) + hashes[1:])[paired]
         head = np.ones(n, dtype=bool)
         head[1:] = line[1:] != line[:-1]
         cut = np.ones(n, dtype=bool)
