@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, substring_dedup, warc_zip
+from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, substring_dedup, warc_zip
 from remitspark.llm.common import table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "clean_text", "n_lines", "n_removed")
 
 
+def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("row.doc_id", "log_ratio", "log_weight", "kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -62,6 +67,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality_resampling": op3_quality_resampling,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op7_document_fingerprints": op7_document_fingerprints,
