@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, substring_dedup, warc_zip
+from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
 from remitspark.llm.common import table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_versions(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_resampling": op3_quality_resampling,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op6_toxic_spans": op6_toxic_spans,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
