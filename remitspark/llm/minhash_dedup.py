@@ -6,9 +6,10 @@ serve 108 tables, which would take 540 minhashes one by one. Two sets of similar
 table with probability 0.0003, of 0.85 with 0.00001.
 
 Documents with equal shingle sets are one class, found by a grouping; only classes take part
-in what follows. In every table, classes with one key are compared with the first of them, and
-then the classes that this leaves in different components with each other, so that a large
-group of near copies costs one comparison a member. Links are confirmed on full shingle sets.
+in what follows. Classes with one key in a table are candidates if two bits of enough of their
+minhashes agree. They are compared with the first of them, and then the classes that this
+leaves in different components with each other, so that a large group of near copies costs one
+comparison a member. Links are confirmed on full shingle sets.
 
 Defined results: a null or empty text has an empty set and is linked with nothing. A document
 without an id is never linked: its component_id is null and it is kept. Rows that share an id
@@ -33,8 +34,13 @@ SIMILARITY = 80
 HASHES = sum(size * count for size, count in COLLECTIONS)
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * BASE) | np.uint64(1)
 FLIPS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) + BASE)
-#: Pairs of a table's classes are compared outright if there are at most so many a class.
-FEW_PAIRS = 8
+#: Of the 54 minhashes so many agree in two bits, by chance or not, for all but one in 200,000 of
+#: the pairs of similarity 0.8 that share a key.
+ALIKE = 35
+RUN_ROWS = 100_000
+#: Pairs across components are compared outright if there are at most so many a class.
+FEW_PAIRS = 16
+TURNS = 3
 
 
 def _row_shingles(batch: pa.RecordBatch, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,9 +101,26 @@ def table_keys(hashes: np.ndarray) -> np.ndarray:
     return mix(pairs.reshape(len(hashes), -1) ^ mix(tables))
 
 
+def bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last two bits of all minhashes, half of them in each of two values a row."""
+    fields = (hashes & np.uint32(3)).astype(np.uint64)
+    half = HASHES // 2
+    shifts = np.arange(half, dtype=np.uint64) * np.uint64(2)
+    return tuple((part << shifts).sum(axis=1, dtype=np.uint64) for part in (fields[:, :half], fields[:, half:]))
+
+
+def agreeing(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many minhashes of two rows agree in their last two bits."""
+    differing = 0
+    for x, y in zip(one, two, strict=True):
+        z = x ^ y
+        differing = differing + np.bitwise_count((z | (z >> np.uint64(1))) & np.uint64(0x5555555555555555))
+    return HASHES - differing.astype(np.int64)
+
+
 def _keys(classes: DataFrame) -> DataFrame:
-    schema = "key long, node long"
-    arrow = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+    names = ("key", "node", "low_bits", "high_bits")
+    arrow = pa.schema([(name, pa.int64()) for name in names])
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,34 +128,84 @@ def _keys(classes: DataFrame) -> DataFrame:
                 part = batch.slice(begin, 1000)
                 hashes = np.frombuffer(b"".join(part.column("minhashes").to_pylist()), np.uint32).reshape(-1, HASHES)
                 keys = table_keys(hashes)
-                node = np.repeat(part.column("node").to_numpy(), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node)], schema=arrow)
-
-    return classes.select("node", "minhashes").mapInArrow(emit, schema)
+                same = [np.repeat(x.view(np.int64), keys.shape[1]) for x in (part.column("node").to_numpy(), *bits(hashes))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys.ravel().view(np.int64), *same)], schema=arrow)
+
+    return classes.select("node", "minhashes").mapInArrow(emit, ", ".join(f"{name} long" for name in names))
+
+
+def _led(run: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (leader, member) of rows with minhashes alike, within runs of rows; and which rows lead.
+
+    The first row of a run leads, then the first that is unlike all leaders before, and so on.
+    Every leader is compared with all rows of its run.
+    """
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1])[: len(run)])
+    size = np.diff(np.append(begin, len(run)))
+    free, leads = np.ones(len(run), dtype=bool), np.zeros(len(run), dtype=bool)
+    pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    while len(begin):
+        ends = np.cumsum(size)
+        rows = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
+        of = np.repeat(np.arange(len(begin)), size)
+        waiting = np.flatnonzero(free[rows])
+        has, first = np.unique(of[waiting], return_index=True)
+        leader = np.full(len(begin), -1)
+        leader[has] = rows[waiting[first]]
+        led = leader[of]
+        alike = (led >= 0) & (agreeing((low[rows], high[rows]), (low[led], high[led])) >= ALIKE)
+        free[rows[alike]] = False
+        leads[leader[has]] = True
+        other = alike & (rows != led)
+        pairs.append((led[other], rows[other]))
+        left = np.add.reduceat(free[rows].astype(np.int64), ends - size) > 0
+        begin, size = begin[left], size[left]
+    leaders, members = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    return leaders, members, np.flatnonzero(leads)
 
 
 def _collisions(keys: DataFrame) -> DataFrame:
-    """Rows (key, first, node): classes that share a key, each with the first of the key."""
-    arrow = pa.schema([("key", pa.int64()), ("first", pa.int64()), ("node", pa.int64())])
+    """Rows (key, first, node): classes that share a key and most minhashes.
+
+    A run longer than ``RUN_ROWS`` is worked on in parts. Its leaders go from part to part, and
+    each of them is a row of its own, so that it is compared with all of the run later.
+    """
+    names = ("key", "first", "node")
+    arrow = pa.schema([(name, pa.int64()) for name in names])
+    columns = ("key", "node", "low_bits", "high_bits")
+
+    def collide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4
+
+        def found(parts: list[np.ndarray], leads_too: bool) -> tuple[pa.RecordBatch, np.ndarray]:
+            key, node, low, high = parts
+            new = np.append(True, key[1:] != key[:-1])
+            shared = ~new | np.append(key[1:] == key[:-1], False)
+            rows = np.flatnonzero(shared)
+            run = np.cumsum(new)[rows]
+            leader, member, leads = _led(run, node[rows], low[rows].view(np.uint64), high[rows].view(np.uint64))
+            first, second = rows[leader], rows[member]
+            if leads_too:
+                first, second = np.append(first, rows[leads]), np.append(second, rows[leads])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[first], node[first], node[second])], schema=arrow), rows[leads]
 
-    def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_first = None, None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-            is_new = np.ones(len(key), dtype=bool)
-            is_new[1:] = key[1:] != key[:-1]
-            is_new[0] = key[0] != last_key
-            heads = np.flatnonzero(is_new)
-            run = np.cumsum(is_new) - 1
-            first = np.where(run >= 0, node[heads][run] if len(heads) else 0, last_first or 0)
-            last_key, last_first = key[-1], first[-1]
-            more = ~is_new
-            yield pa.RecordBatch.from_arrays([pa.array(x[more]) for x in (key, first, node)], schema=arrow)
+            parts = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, columns, strict=True)]
+            last = int(np.searchsorted(parts[0], parts[0][-1], "left"))  # keys are in order
+            if last:
+                yield found([x[:last] for x in parts], False)[0]
+            held = [x[last:] for x in parts]
+            if len(held[0]) > RUN_ROWS:
+                out, leads = found(held, True)
+                yield out
+                held = [x[leads] for x in held]
+        if len(held[0]):
+            yield found(held, False)[0]
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "node")
-    return ordered.mapInArrow(runs, "key long, first long, node long")
+    return ordered.mapInArrow(collide, ", ".join(f"{name} long" for name in names))
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataFrame) -> DataFrame:
@@ -166,39 +239,47 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return close.filter(100 * F.col("shared") >= similarity * united).select("a", "b")
 
 
-def _rooted(collisions: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(collisions: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows (key, node, root) of the keys whose classes are in several components."""
-    firsts = collisions.select("key", F.col("first").alias("node")).distinct()
-    members = collisions.select("key", "node").union(firsts)
-    rooted = members.join(components(links), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    members = collisions.select("key", "node").union(collisions.select("key", F.col("first").alias("node"))).distinct()
+    rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     return stored(rooted.join(several.select("key"), "key", "left_semi"), "rooted")
 
 
-def _links(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Confirmed links that connect all classes connected by similar pairs with a common key."""
-    tried = stored(collisions.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+def _connected(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Components (node, root) of all confirmed links between classes with a common key.
+
+    The pairs of leaders and members come first. Where these leave a key with several
+    components, its classes are compared across components. If that would be many pairs, every
+    component of the key is compared with one class drawn from the key first, for some turns.
+    """
+    tried = stored(collisions.filter("first != node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = stored(_confirmed(tried, sets, similarity), "confirmed")
-    for turn in range(4):
-        rooted = _rooted(collisions, links)
+    roots = components(links)
+    turn = 0
+    while True:
+        rooted = _rooted(collisions, roots)
         by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
         by_key = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         sizes = by_key.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("n")).first()
-        few = (sizes["pairs"] or 0) <= FEW_PAIRS * (sizes["n"] or 0)
-        if few or turn == 3:
+        last = (sizes["pairs"] or 0) <= FEW_PAIRS * (sizes["n"] or 0) or turn == TURNS
+        if last:
             other = rooted.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
             pairs = rooted.withColumnRenamed("node", "a").join(other, "key").filter("root < root_b")
-        else:  # many: compare with another class of the key first
-            order = F.xxhash64(F.col("node"), F.lit(turn))
+        else:
+            order = F.xxhash64("key", "node", F.lit(turn))
             hub = rooted.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("hub"))
             pairs = rooted.join(hub, "key").filter("root != hub.root").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.union(_confirmed(pairs, sets, similarity)), "confirmed")
-        if few or turn == 3:
-            return links
-        tried = stored(tried.union(pairs), "tried")
-    raise AssertionError
+        more = stored(_confirmed(pairs, sets, similarity), "confirmed")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links)
+        if last:
+            return roots
+        tried, turn = tried.union(pairs), turn + 1
 
 
 def near_duplicates(
@@ -214,7 +295,7 @@ def near_duplicates(
     in_pairs = collisions.select("node").union(collisions.select("first")).distinct()
     wanted = classes.drop("minhashes").join(in_pairs, "node", "left_semi")
     sets = stored(_sets(docs, id_col, text_col, words, stored(wanted, "wanted")), "sets")
-    roots = components(_links(collisions, sets, similarity))
+    roots = _connected(collisions, sets, similarity)
 
     rooted = classes.drop("minhashes").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))

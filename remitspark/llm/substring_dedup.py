@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from remitspark.llm.common import arrow_schema, stored
 from remitspark.llm.textarrays import Passages, char_positions, slices, text_bytes
@@ -66,7 +66,7 @@ def units(docs: DataFrame) -> DataFrame:
     return docs.select("rank", "text_key", "text").mapInArrow(find, UNITS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
     """The texts without the spans, which are in order."""
 
