@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from remitspark.llm import fingerprints as P
+from tests.llm.conftest import DOCS, rows_of
+
+
+def column(texts):
+    return pa.array(texts, pa.large_string())
+
+
+def brute(digests, i):
+    rows = np.array([i])
+    return Counter(digests.of(rows)[0].tolist())
+
+
+def test_digests_do_not_depend_on_neighbours(texts):
+    some = texts + ["", " \n", texts[0] + "\n" + texts[0]]
+    together = P.Digests(column(some))
+    for i, text in enumerate(some):
+        assert brute(P.Digests(column([text])), 0) == brute(together, i)
+    assert set(brute(together, len(some) - 1).values()) <= {1}
+
+
+@pytest.mark.parametrize("cells", [18, 6])
+def test_peeling_recovers_all_differences(monkeypatch, texts, cells):
+    monkeypatch.setattr(P, "CELLS", cells)
+    old = texts
+    new = [t if i % 4 == 0 else t[: len(t) // 2] + texts[i - 1] if i % 4 == 1 else texts[i - 2] if i % 4 == 2 else "" for i, t in enumerate(texts)]
+    one, two = P.Digests(column(old)), P.Digests(column(new))
+    same = np.arange(len(texts))
+    digests, pair, sign = P.differences(one, two, same, same, P.fingerprints(one).minus(P.fingerprints(two)))
+    near = P.likeness(one.sizes, two.sizes, pair, sign)
+    for i in range(len(texts)):
+        a, b = brute(one, i), brute(two, i)
+        assert Counter(digests[(pair == i) & (sign > 0)].tolist()) == a - b
+        assert Counter(digests[(pair == i) & (sign < 0)].tolist()) == b - a
+        union = sum((a | b).values())
+        assert near[i] == pytest.approx(sum((a & b).values()) / union if union else 1.0)
+
+
+def check(rows, found):
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    ids = [r[0] for r in order]
+    got = {(r.doc_id, r.n_chars, r.edited_sha256): r for r in found}
+    unique = [r for r in order if ids.count(r[0]) == 1]
+    for row in unique:
+        k = order.index(row)
+        text, after = row[1] or "", order[(k + 1) % len(order)]
+        if ids.count(after[0]) > 1:
+            continue
+        n = len(text) // 3
+        edited = text[: len(text) - n] + (after[1] or "")[:n]
+        r = got[row[0], len(text), hashlib.sha256(edited.encode()).hexdigest()]
+        one, two, three = P.Digests(column([text])), P.Digests(column([edited])), P.Digests(column([after[1] or ""]))
+        assert r.fingerprint == P.texts_of(P.fingerprints(one))[0]
+        assert r.edited_fingerprint == P.texts_of(P.fingerprints(two))[0]
+        for value, other in ((r.near_edited, two), (r.near_next, three)):
+            a, b = brute(one, 0), brute(other, 0)
+            union = sum((a | b).values())
+            assert value == pytest.approx(sum((a & b).values()) / union if union else 1.0)
+
+
+@pytest.mark.parametrize("bucket_rows", [4000, 7])
+def test_edited_versions(spark, odd_docs, monkeypatch, bucket_rows):
+    monkeypatch.setattr(P, "BUCKET_ROWS", bucket_rows)
+    found = P.edited_versions(odd_docs).collect()
+    rows = rows_of(odd_docs, "doc_id", "text")
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
+    check(rows, found)
+    by_text = {}
+    texts = {(d, len(t or "")): t for d, t in rows}
+    for r in found:
+        by_text.setdefault(texts[r.doc_id, r.n_chars] or "", set()).add(r.fingerprint)
+    assert all(len(x) == 1 for x in by_text.values())
+
+
+def test_one_document_follows_itself(spark, no_docs):
+    one = spark.createDataFrame([(1, "abc def", "en", "s", 7)], DOCS)
+    row = P.edited_versions(one).first()
+    assert row.edited_sha256 == hashlib.sha256(b"abc deab").hexdigest() or row.edited_sha256 == hashlib.sha256(b"abc dab").hexdigest()
+    assert row.near_next == 1.0
+    assert P.edited_versions(no_docs).collect() == []
+
+
+def test_compare(spark):
+    rows = [(1, "a b c d e f\nold line here", "a b c d e f\nnew line there"), (2, None, ""), (3, "x", None)]
+    found = {r.i: r for r in P.compare(spark.createDataFrame(rows, "i long, old string, new string"), "old", "new", "i").collect()}
+    assert len(found[1].only_old) == len(found[1].only_new) == 1 and 0 < found[1].likeness < 1
+    assert (found[2].only_old, found[2].only_new, found[2].likeness) == ([], [], 1.0)
+    assert len(found[3].only_old) == 1 and found[3].likeness == 0.0
