@@ -35,6 +35,18 @@ def audit_rows(summary: DataFrame) -> DataFrame:
     )
 
 
+def with_run_keys(audit: DataFrame, partition_by: str) -> DataFrame:
+    """The directories of a run in place of names per file: rows of a file are in those."""
+    day = F.regexp_extract("processed_key", "^processed/(.*)/[^/]*$", 1) if partition_by == "file" else F.lit("year=*/month=*/day=*")
+    run = F.concat(F.lit("/run_id="), F.col("run_id"))
+    return audit.withColumns(
+        {
+            "processed_key": F.when(F.col("processed_key").isNotNull(), F.concat(F.lit("processed/"), day, run)),
+            "rejected_key": F.when(F.col("rejected_key").isNotNull(), F.concat(F.lit("rejected"), run)),
+        }
+    )
+
+
 def partition_dates(summary: DataFrame, *more: str) -> DataFrame:
     """Date of each file's first valid row, which names the directory of the whole file."""
     return summary.filter(F.col("first_valid_ts").isNotNull()).select(

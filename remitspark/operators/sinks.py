@@ -1,7 +1,9 @@
-"""Processed, rejected and audit datasets.
+"""Processed, rejected and audit datasets, by run.
 
-Every write replaces only the partitions it holds, so running a file again replaces that
-file's output and a repeated micro-batch leaves nothing twice.
+Every run writes directories of its own, and the audit says which runs a file was in. The
+current version of a file is that of its latest run. Readers leave older versions out, so a
+corrected file replaces its old rows wherever they were, also if its date has changed or
+nothing is rejected any more. A run that is repeated under its id replaces its own output.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from remitspark import schema as S
+from remitspark.tables import fits_broadcast
 
 
 def _date_parts(day: Column) -> dict[str, Column]:
@@ -19,14 +22,13 @@ def _date_parts(day: Column) -> dict[str, Column]:
     }
 
 
-def write_processed(valid: DataFrame, day: Column, path: str, regroup: bool) -> None:
-    """Snappy Parquet under ``year=/month=/day=/source_file=``; no rows, no output.
+def write_processed(valid: DataFrame, day: Column, path: str, run_id: str, regroup: bool) -> None:
+    """Snappy Parquet under ``year=/month=/day=/run_id=``; no rows, no output.
 
-    Rows straight from a scan lie together by file already. ``regroup`` brings rows
-    together that a shuffled join or per-row dates have spread; it cuts hot partitions
-    into several tasks and packs small ones.
+    ``regroup`` brings rows of a date together that a shuffled join or per-row dates have
+    spread; it cuts hot partitions into several tasks and packs small ones.
     """
-    out = valid.withColumns(_date_parts(day)).select(S.PROCESSED.fieldNames())
+    out = valid.withColumns(_date_parts(day)).withColumn("run_id", F.lit(run_id)).select(S.PROCESSED.fieldNames())
     if regroup:
         out = out.hint("rebalance", *S.PROCESSED_PARTITIONS)
     (
@@ -38,10 +40,11 @@ def write_processed(valid: DataFrame, day: Column, path: str, regroup: bool) ->
     )
 
 
-def write_rejected(rejected: DataFrame, path: str) -> None:
-    """CSV with header under ``source_file=``: raw text as it came, plus the reason."""
+def write_rejected(rejected: DataFrame, path: str, run_id: str) -> None:
+    """CSV with header under ``run_id=``: raw text as it came, plus the reason and the file."""
     (
-        rejected.hint("rebalance", "source_file")
+        rejected.withColumn("run_id", F.lit(run_id))
+        .hint("rebalance", "source_file")
         .sortWithinPartitions("source_file", "row_pos")
         .select(S.REJECTED.fieldNames())
         .write.mode("overwrite")
@@ -51,7 +54,7 @@ def write_rejected(rejected: DataFrame, path: str) -> None:
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .partitionBy("source_file")
+        .partitionBy("run_id")
         .csv(path)
     )
 
@@ -66,21 +69,41 @@ def write_audit(audit: DataFrame, path: str) -> None:
     )
 
 
-def read_processed(spark, path: str) -> DataFrame:
-    return spark.read.schema(S.PROCESSED).parquet(path)
+def superseded(audit: DataFrame) -> DataFrame:
+    """``source_file, run_id`` of every run of a file that a later run of it replaces."""
+    last = audit.groupBy(F.col("source_file").alias("file")).agg(F.max(F.struct("run_time", "run_id")).alias("last"))
+    joined = audit.join(last, F.col("source_file") == F.col("file"))
+    return joined.filter(F.col("run_id") != F.col("last.run_id")).select("source_file", "run_id").distinct()
+
+
+def current(rows: DataFrame, audit: DataFrame) -> DataFrame:
+    """Rows that no later run of their file replaces."""
+    old = superseded(audit)
+    return rows.join(F.broadcast(old) if fits_broadcast(old) else old, ["source_file", "run_id"], "left_anti")
+
 
+def all_processed(spark, out_dir: str) -> DataFrame:
+    """Valid rows of all runs, also of those that later ones replace."""
+    return spark.read.schema(S.PROCESSED).parquet(f"{out_dir}/processed")
 
-def read_rejected(spark, path: str) -> DataFrame:
-    return (
+
+def read_processed(spark, out_dir: str) -> DataFrame:
+    rows = current(all_processed(spark, out_dir), read_audit(spark, out_dir))
+    return rows.select(S.PROCESSED.fieldNames())
+
+
+def read_rejected(spark, out_dir: str) -> DataFrame:
+    rows = (
         spark.read.schema(S.REJECTED)
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+        .csv(f"{out_dir}/rejected")
     )
+    return current(rows, read_audit(spark, out_dir)).select(S.REJECTED.fieldNames())
 
 
-def read_audit(spark, path: str) -> DataFrame:
-    return spark.read.schema(S.AUDIT).parquet(path)
+def read_audit(spark, out_dir: str) -> DataFrame:
+    return spark.read.schema(S.AUDIT).parquet(f"{out_dir}/audit")

@@ -1,8 +1,9 @@
 """The ``transactions`` table: definition, bulk load, scan and structure.
 
-Rows live in ``<table>_rows`` together with the file they came from; ``<table>`` is a view
-of the 11 columns. One append commits rows and their origin together, so an incremental
-load can tell what is already there even after a load was cut off.
+Rows live in ``<table>_rows``, partitioned by the run they came from, together with their
+file. ``<table>`` is a view of the 11 columns that leaves out what ``<table>_superseded``
+names: versions of files that a later run has replaced. A load takes whole runs, so it knows
+from the names of partitions alone what is there already, also after it was cut off.
 """
 
 from __future__ import annotations
@@ -10,70 +11,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remitspark import schema as S
-from remitspark.operators.sinks import read_processed
-from remitspark.session import drop_work_folder, new_work_folder
-from remitspark.tables import fits_broadcast, lookup, store
+from remitspark.operators import sinks
 
 
 def create_transactions(
     spark: SparkSession, table: str = "transactions", location: str | None = None
 ) -> None:
-    """Creates table and view where absent, in ``location`` or in the session's warehouse."""
+    """Creates tables and view where absent, in ``location`` or in the session's warehouse."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.TRANSACTIONS.fields)
     names = ", ".join(S.REQUIRED_COLUMNS)
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_rows ({columns}, source_file string) USING parquet{place}")
-    spark.sql(f"CREATE VIEW IF NOT EXISTS {table} AS SELECT {names} FROM {table}_rows")
 
+    def place(kind: str) -> str:
+        return f" LOCATION '{location}/{kind}'" if location else ""
 
-def load(
-    spark: SparkSession, processed_dir: str, table: str = "transactions", mode: str = "append"
-) -> None:
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table}_rows ({columns}, source_file string, run_id string) "
+        f"USING parquet PARTITIONED BY (run_id){place('rows')}"
+    )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table}_superseded (source_file string, run_id string) "
+        f"USING parquet{place('superseded')}"
+    )
+    spark.sql(
+        f"CREATE VIEW IF NOT EXISTS {table} AS SELECT {names} FROM {table}_rows AS r WHERE NOT EXISTS "
+        f"(SELECT 1 FROM {table}_superseded AS s WHERE s.source_file = r.source_file AND s.run_id = r.run_id)"
+    )
+
+
+def drop_transactions(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for kind in ("rows", "superseded"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}_{kind}")
+
+
+def load(spark: SparkSession, out_dir: str, table: str = "transactions", mode: str = "append") -> None:
     """Appends processed rows, with explicit casts to the table's types.
 
-    ``append`` takes the whole folder, each time it is called. ``incremental`` takes only
-    files of which the table has no rows.
+    ``append`` takes all current rows, each time it is called. ``incremental`` takes only
+    runs that the table does not hold, and tells it which older versions they replace.
     """
     if mode not in ("append", "incremental"):
         raise ValueError(f"mode must be 'append' or 'incremental', not {mode!r}")
     create_transactions(spark, table)
-    processed = read_processed(spark, processed_dir)
     if mode == "append":
-        _append(processed, table)
+        _append(sinks.read_processed(spark, out_dir), table)
         return
-    folder = new_work_folder(spark, "load")
-    try:
-        fresh = store(_not_loaded(processed, spark.table(f"{table}_rows")), folder)
-        _append(only_files(processed, fresh), table)
-    finally:
-        drop_work_folder(spark, folder)
+    audit = sinks.read_audit(spark, out_dir)
+    fresh = new_runs(audit, spark.sql(f"SHOW PARTITIONS {table}_rows"))
+    if fresh:
+        _append(runs(sinks.all_processed(spark, out_dir), fresh), table)
+    sinks.superseded(audit).write.insertInto(f"{table}_superseded", overwrite=True)
 
 
 def _append(processed: DataFrame, table: str) -> None:
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRANSACTIONS.fields]
-    processed.select(*typed, "source_file").write.insertInto(f"{table}_rows")
+    processed.select(*typed, "source_file", "run_id").write.insertInto(f"{table}_rows")
 
 
-def _not_loaded(processed: DataFrame, rows: DataFrame) -> DataFrame:
-    """``source_file, row_count`` of new files.
-
-    Reads directory names and row counts of the one side, one column of the other.
-    """
-    present = processed.groupBy("source_file").agg(F.count("*").alias("row_count"))
-    return present.join(rows.select("source_file").distinct(), "source_file", "left_anti")
+def new_runs(audit: DataFrame, partitions: DataFrame) -> list[str]:
+    """Ids of runs with valid rows that have no partition yet: names, one per run."""
+    loaded = partitions.select(F.url_decode(F.substring("partition", len("run_id=") + 1, 2**31 - 1)).alias("run_id"))
+    with_rows = audit.filter("total_valid_records > 0").select("run_id").distinct()
+    return [row["run_id"] for row in with_rows.join(loaded, "run_id", "left_anti").collect()]
 
 
-def only_files(processed: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the files in ``source_file, row_count``.
-
-    With a broadcast, the filter on a column of its own makes Spark prune the directories
-    of all other files at run time.
-    """
-    if fits_broadcast(files):
-        return processed.join(F.broadcast(files.filter("row_count > 0")), "source_file", "left_semi")
-    wanted = files.withColumn("wanted", F.lit(True))
-    spread = F.xxhash64(*S.REQUIRED_COLUMNS)
-    return lookup(processed, wanted, ["source_file"], "row_count", spread).filter("wanted").drop("wanted")
+def runs(processed: DataFrame, run_ids: list[str]) -> DataFrame:
+    """Rows of some runs; other directories are not read."""
+    return processed.filter(F.col("run_id").isin(run_ids))
 
 
 def transactions(spark: SparkSession, table: str = "transactions") -> DataFrame:

@@ -142,6 +142,7 @@ def _amount_by(key: str, total: str = "total_amount", average: str | None = "ave
     )
 
 
+# Names of results and literals of filters.
 _ANALYTICS = {
     "total_transactions": "SELECT count(*) AS total_transactions FROM transactions",
     "total_amount": f"SELECT {SUM} AS total_transaction_amount FROM transactions",
@@ -197,6 +198,37 @@ _ANALYTICS = {
 
 _PROCESSED_DIR = "'processed/year=' || year(first_ts) || strftime(first_ts, '/month=%m/day=%d/')"
 
+#: What becomes of the odd files.
+_ODD_FILES = ", ".join(
+    f"('{name}', {valid}, {rejected}, {error})"
+    for name, valid, rejected, error in [
+        ("odd/empty.csv", 0, 0, f"'MISSING_REQUIRED_COLUMNS: {COLUMNS}'"),
+        ("odd/_under.csv", 0, 0, "'HIDDEN_NAME'"),
+        ("_odd/in_hidden_folder.csv", 0, 0, "'HIDDEN_NAME'"),
+        ("odd/.dot.csv", 0, 0, "'HIDDEN_NAME'"),
+        ("odd/lacks_region.csv", 0, 0, "'MISSING_REQUIRED_COLUMNS: region'"),
+        ("odd/bytes.csv", 0, 0, "'INVALID_ENCODING'"),
+        ("odd/swapped.csv", 1, 0, "NULL"),
+        ("odd/lines.csv", 1, 1, "NULL"),
+        ("odd/shapes.csv", 2, 0, "NULL"),
+        ("odd/open.csv", 0, 0, "'FIELD_TOO_LARGE'"),
+    ]
+)
+
+_CORRECTED = """, sent AS (
+    SELECT 'batch_' || ((k // 524288) * 8 + k % 8) || '.csv' AS source_file,
+        transaction_ts + INTERVAL 31 DAY AS transaction_ts, amount
+    FROM transactions WHERE k % 8 = 3
+), now AS (
+    SELECT source_file, transaction_ts, amount FROM sent
+    UNION ALL SELECT source_file, transaction_ts, amount FROM valid
+    WHERE source_file NOT IN (SELECT source_file FROM sent)
+)
+SELECT source_file, count(*) AS valid_rows, CAST(sum(amount) AS DECIMAL(38, 2)) AS valid_amount,
+    min(transaction_ts) AS first_ts, max(transaction_ts) AS last_ts,
+    max(CASE WHEN source_file IN (SELECT source_file FROM sent) THEN 0 ELSE total_rejected_records END) AS rejected_rows
+FROM now JOIN per_file USING (source_file) GROUP BY source_file"""
+
 _DIRTY = {
     "validate_reasons": "SELECT source_file, row_pos, rejection_reason FROM annotated",
     "valid_rows": f"SELECT source_file, row_pos, {COLUMNS} FROM valid",
@@ -212,10 +244,20 @@ _DIRTY = {
     "END AS rejected_key FROM per_file",
     "partition_dates": "SELECT source_file, CAST(first_ts AS DATE) AS partition_date FROM per_file "
     "WHERE first_ts IS NOT NULL",
-    "csv_round_trip": "SELECT status, count(*) AS transaction_count FROM valid GROUP BY status "
-    "ORDER BY transaction_count DESC, status",
+    "csv_round_trip": f"SELECT source_file, {COLUMNS} FROM valid",
+    "rejected_round_trip": "SELECT source_file, "
+    + ", ".join(f"coalesce({c}, '') AS {c}" for c in COLUMNS.split(", "))
+    + ", rejection_reason FROM annotated WHERE rejection_reason IS NOT NULL",
+    "ingest_audit": "SELECT source_file, total_valid_records, total_rejected_records, "
+    f"CAST(NULL AS VARCHAR) AS file_error FROM per_file UNION ALL (VALUES {_ODD_FILES})",
+    "reingest_corrected_files": _CORRECTED,
+    "ingest_announced": "SELECT source_file, total_valid_records, total_rejected_records, "
+    "CAST(NULL AS VARCHAR) AS file_error FROM per_file "
+    "WHERE CAST(regexp_extract(source_file, 'batch_([0-9]+)', 1) AS BIGINT) % 4 <> 2",
     "stream_ingest": "SELECT source_file, total_valid_records, total_rejected_records, "
-    f"CASE WHEN total_valid_records > 0 THEN {_PROCESSED_DIR} END AS processed_dir FROM per_file",
+    f"CASE WHEN total_valid_records > 0 THEN {_PROCESSED_DIR} END AS processed_dir, "
+    "CASE WHEN total_rejected_records > 0 THEN 'rejected/' END AS rejected_dir, "
+    "CAST(NULL AS VARCHAR) AS file_error FROM per_file",
 }
 
 _NOTIFICATIONS = """

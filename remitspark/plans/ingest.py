@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,8 @@ from remitspark.operators import validate as V
 from remitspark.operators import warehouse
 from remitspark.session import drop_work_folder, new_work_folder
 from remitspark.sources.csv_files import read_raw, without_headers
+from remitspark.sources.notifications import ACCEPTED, route_notifications
+from remitspark.sources.records import literal_path
 from remitspark.tables import fits_broadcast, lookup, store
 
 
@@ -23,9 +26,13 @@ def ingest(
     paths: list[str] | None = None,
     partition_by: str = "file",
     run_id: str | None = None,
+    max_field_chars: int = S.MAX_FIELD_CHARS,
 ) -> DataFrame:
     """Processes every CSV file below ``raw_dir``, or only ``paths``; returns its audit rows.
 
+    An empty list of paths processes nothing. A run id names one set of files: running it
+    again replaces its output.
+
     ``partition_by="file"`` puts a whole file under the date of its first valid row,
     ``"row"`` puts each row under its own date. A file that cannot be read gets an audit
     row with ``file_error`` and does not hold up the others.
@@ -35,10 +42,12 @@ def ingest(
     """
     if partition_by not in ("file", "row"):
         raise ValueError(f"partition_by must be 'file' or 'row', not {partition_by!r}")
+    if paths is not None and not paths:
+        return spark.createDataFrame([], S.AUDIT)
     run_id = run_id or uuid.uuid4().hex
     folder = new_work_folder(spark, "ingest")
     try:
-        checked, files = read_raw(spark, raw_dir, paths, folder, V.check_rows)
+        checked, files = read_raw(spark, raw_dir, paths, folder, V.check_rows, max_field_chars)
         repeated = store(V.first_valid(checked), f"{folder}/repeated")
         few_repeated = fits_broadcast(repeated)
         marked = V.mark_duplicates(checked, repeated, few_repeated)
@@ -59,22 +68,24 @@ def ingest(
             day, regroup = F.col("transaction_ts"), True
         rejected = without_headers(V.rejected_rows(marked), summary, "total_rejected_records")
 
-        sinks.write_rejected(rejected, f"{out_dir}/rejected")
-        sinks.write_processed(valid, day, f"{out_dir}/processed", regroup)
-        sinks.write_audit(_audit(files, summary, run_id), f"{out_dir}/audit")
+        sinks.write_rejected(rejected, f"{out_dir}/rejected", run_id)
+        sinks.write_processed(valid, day, f"{out_dir}/processed", run_id, regroup)
+        # Last: rows of a run without an audit row are not loaded.
+        sinks.write_audit(_audit(files, summary, run_id, partition_by), f"{out_dir}/audit")
     finally:
         drop_work_folder(spark, folder)
-    return sinks.read_audit(spark, f"{out_dir}/audit").filter(F.col("run_id") == run_id)
+    return sinks.read_audit(spark, out_dir).filter(F.col("run_id") == run_id)
 
 
-def _audit(files: DataFrame, summary: DataFrame, run_id: str) -> DataFrame:
+def _audit(files: DataFrame, summary: DataFrame, run_id: str, partition_by: str) -> DataFrame:
     """One row per admitted file. The header row counts as rejected up to here; not below."""
     data_rows = summary.withColumn("total_rejected_records", F.col("total_rejected_records") - 1)
-    return (
+    rows = (
         files.join(A.audit_rows(data_rows), "source_file", "left")
         .fillna(0, ["total_valid_records", "total_rejected_records"])
-        .withColumn("run_id", F.lit(run_id))
+        .withColumns({"run_id": F.lit(run_id), "run_time": F.current_timestamp()})
     )
+    return A.with_run_keys(rows, partition_by)
 
 
 def ingest_and_load(
@@ -82,5 +93,28 @@ def ingest_and_load(
 ) -> DataFrame:
     """Ingest, then load files that the table does not hold yet. Returns the audit rows."""
     audit = ingest(spark, raw_dir, out_dir, **options)
-    warehouse.load(spark, f"{out_dir}/processed", table, mode="incremental")
+    warehouse.load(spark, out_dir, table, mode="incremental")
     return audit
+
+
+def ingest_notifications(
+    spark: SparkSession, log: DataFrame, raw_dir: str, out_dir: str, bucket: str, max_files: int = 1000, **options
+) -> DataFrame:
+    """Processes the files that a log of arrival messages accepts; returns their audit rows.
+
+    Keys are relative to ``raw_dir``, which holds the bucket. Each file is processed once
+    however often it was announced, at most ``max_files`` in a run; only their names come here.
+    """
+    folder, run_ids = new_work_folder(spark, "announced"), []
+    try:
+        accepted = route_notifications(log, bucket).filter((F.col("status") == ACCEPTED) & (F.col("bucket") == bucket))
+        keys = store(accepted.select("key").distinct().sort("key"), folder)
+        names = (f"{raw_dir.rstrip('/')}/{row['key']}" for row in keys.toLocalIterator())
+        while chunk := list(islice(names, max_files)):
+            run_ids.append(uuid.uuid4().hex)
+            ingest(spark, raw_dir, out_dir, [literal_path(name) for name in chunk], run_id=run_ids[-1], **options)
+    finally:
+        drop_work_folder(spark, folder)
+    if not run_ids:
+        return spark.createDataFrame([], S.AUDIT)
+    return sinks.read_audit(spark, out_dir).filter(F.col("run_id").isin(run_ids))

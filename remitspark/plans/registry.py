@@ -7,26 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remitspark import sampledata
+from remitspark import schema as S
 from remitspark.operators import audit as A
 from remitspark.operators import validate as V
 from remitspark.operators import warehouse
-from remitspark.operators.sinks import read_audit
-from remitspark.plans.analytics import QUERIES, count_by_status
+from remitspark.operators.sinks import read_audit, read_rejected
+from remitspark.plans.analytics import QUERIES
 from remitspark.plans.checks import CHECKS
-from remitspark.plans.ingest import ingest
-from remitspark.session import drop_work_folder, new_work_folder
+from remitspark.plans.ingest import ingest, ingest_notifications
+from remitspark.session import drop_work_folder, new_work_folder, scratch_folder
 from remitspark.sources.notifications import route_notifications
 from remitspark.streaming.arrivals import ingest_stream
+from remitspark.tables import fits_broadcast, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over_transactions(query: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: query(sampledata.transactions(spark, sf_dir))
+#: Queries that show the region.
+WITH_REGION = ("amount_by_region", "fraud_by_region", "high_value", "high_value_fraud", "preview")
+
+
+def _over_transactions(name: str, query: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(sampledata.transactions(spark, sf_dir, name in WITH_REGION))
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.annotate(sampledata.raw_transactions(spark, sf_dir))
+    """Raw rows through the rules, with the checked rows stored once, as the ingest does it."""
+    folder = scratch_folder(spark, "checked")
+    checked = store(V.check_rows(sampledata.raw_transactions(spark, sf_dir)), f"{folder}/rows")
+    repeated = store(V.first_valid(checked), f"{folder}/repeated")
+    return V.mark_duplicates(checked, repeated, fits_broadcast(repeated))
 
 
 def validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,43 +69,121 @@ def notification_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_notifications(log, bucket="landing").select("message_id", "bucket", "key", "status", "error")
 
 
-def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files, ingest, load, then transactions by status from the loaded table."""
-    folder, stored = new_work_folder(spark, "round-trip"), new_work_folder(spark, "round-trip-table")
-    table = "transactions_" + stored[-32:]
+def _ingested(spark: SparkSession, sf_dir: str, work: Callable[[str, str], None]) -> str:
+    """Folder with the outputs of ``work``, which gets the folders of raw files and outputs."""
+    folder, out = new_work_folder(spark, "raw"), scratch_folder(spark, "out")
     try:
         sampledata.write_raw_files(spark, sf_dir, f"{folder}/raw")
-        ingest(spark, f"{folder}/raw", folder)
-        warehouse.create_transactions(spark, table, location=stored)
-        warehouse.load(spark, f"{folder}/processed", table, mode="incremental")
+        work(f"{folder}/raw", out)
     finally:
         drop_work_folder(spark, folder)
-    result = count_by_status(warehouse.transactions(spark, table))
-    # The result reads the files in `stored`; the names in the catalog are not needed any more.
-    spark.sql(f"DROP VIEW {table}")
-    spark.sql(f"DROP TABLE {table}_rows")
-    return result
+    return out
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files picked up by the stream; its audit rows."""
-    folder, out = new_work_folder(spark, "stream"), new_work_folder(spark, "stream-out")
+def _loaded(spark: SparkSession, outs: Callable[[Callable[[str], None]], None]) -> DataFrame:
+    """Current rows, with their files, of a table into which ``outs`` loads output folders."""
+    stored = scratch_folder(spark, "table")
+    table = "transactions_" + stored[-32:]
+    warehouse.create_transactions(spark, table, location=stored)
     try:
-        sampledata.write_raw_files(spark, sf_dir, f"{folder}/raw")
-        ingest_stream(spark, f"{folder}/raw", out, f"{folder}/checkpoint").awaitTermination()
+        outs(lambda out: warehouse.load(spark, out, table, mode="incremental"))
+        gone = spark.table(f"{table}_superseded")
+        rows = spark.table(f"{table}_rows").join(gone, ["source_file", "run_id"], "left_anti")
+        # One file per task; the names in the catalog go with the session's work, the result stays.
+        return store(rows, f"{stored}/result")
     finally:
-        drop_work_folder(spark, folder)
-    return read_audit(spark, f"{out}/audit").select(
+        warehouse.drop_transactions(spark, table)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files, ingest, load, then all rows of the loaded table."""
+    out = _ingested(spark, sf_dir, lambda raw, out: ingest(spark, raw, out))
+    rows = _loaded(spark, lambda load: load(out))
+    return rows.select(sampledata.batch_name(F.col("source_file")).alias("source_file"), *S.REQUIRED_COLUMNS)
+
+
+def rejected_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files, ingest, then the rejected rows read back; empty text and none are the same in CSV."""
+    out = _ingested(spark, sf_dir, lambda raw, out: ingest(spark, raw, out))
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in S.REQUIRED_COLUMNS]
+    name = sampledata.batch_name(F.col("source_file")).alias("source_file")
+    return read_rejected(spark, out).select(name, *text, "rejection_reason")
+
+
+def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of raw files together with hidden, empty, undecodable and odd ones."""
+
+    def work(raw: str, out: str) -> None:
+        sampledata.write_odd_files(spark, raw)
+        ingest(spark, raw, out)
+
+    return read_audit(spark, _ingested(spark, sf_dir, work)).select(
+        sampledata.batch_name(F.col("source_file")).alias("source_file"),
+        "total_valid_records",
+        "total_rejected_records",
+        "file_error",
+    )
+
+
+def reingest_corrected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest and load, some files sent again on other days and without faults, ingest and load: per file."""
+    outs: list[str] = []
+
+    def work(raw: str, out: str) -> None:
+        ingest(spark, raw, out)
+        load(out)
+        ingest(spark, raw, out, sampledata.send_corrected_files(spark, sf_dir, raw))
+        load(out)
+        outs.append(out)
+
+    def run(loader: Callable[[str], None]) -> None:
+        nonlocal load
+        load = loader
+        _ingested(spark, sf_dir, work)
+
+    load: Callable[[str], None] = lambda out: None
+    name = sampledata.batch_name(F.col("source_file")).alias("source_file")
+    valid = _loaded(spark, run).groupBy(name).agg(
+        F.count("*").alias("valid_rows"),
+        F.sum("amount").cast("decimal(38,2)").alias("valid_amount"),
+        F.min("transaction_ts").alias("first_ts"),
+        F.max("transaction_ts").alias("last_ts"),
+    )
+    rejected = read_rejected(spark, outs[0]).groupBy(name).agg(F.count("*").alias("rejected_rows"))
+    return valid.join(rejected, "source_file", "left").fillna(0, ["rejected_rows"])
+
+
+def ingest_announced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival messages of raw files, and the audit of what they start."""
+
+    def work(raw: str, out: str) -> None:
+        log = store(sampledata.announcements(spark, raw), f"{out}/log")
+        ingest_notifications(spark, log, raw.removesuffix("/raw"), out, bucket="landing", max_files=100)
+
+    audit = read_audit(spark, _ingested(spark, sf_dir, work))
+    name = sampledata.batch_name(F.col("source_file")).alias("source_file")
+    return audit.select(name, "total_valid_records", "total_rejected_records", "file_error")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files picked up by the stream; its audit rows."""
+
+    def work(raw: str, out: str) -> None:
+        ingest_stream(spark, raw, out, f"{raw}-checkpoint").awaitTermination()
+
+    return read_audit(spark, _ingested(spark, sf_dir, work)).select(
         sampledata.batch_name(F.col("source_file")).alias("source_file"),
         "total_valid_records",
         "total_rejected_records",
-        F.regexp_extract("processed_key", "^.*/", 0).alias("processed_dir"),
+        F.regexp_extract("processed_key", "^(.*/)run_id=", 1).alias("processed_dir"),
+        F.regexp_extract("rejected_key", "^(.*/)run_id=", 1).alias("rejected_dir"),
+        "file_error",
     )
 
 
 # The table-structure check is not here: it reads a schema, so its work does not grow with data.
 REGISTRY: dict[str, Query] = {
-    **{name: _over_transactions(query) for name, query in {**QUERIES, **CHECKS}.items() if name != "table_structure"},
+    **{name: _over_transactions(name, query) for name, query in {**QUERIES, **CHECKS}.items() if name != "table_structure"},
     "validate_reasons": validate_reasons,
     "valid_rows": valid_rows,
     "rejected_rows": rejected_rows,
@@ -104,5 +192,9 @@ REGISTRY: dict[str, Query] = {
     "partition_dates": partition_dates,
     "route_notifications": notification_routes,
     "csv_round_trip": csv_round_trip,
+    "rejected_round_trip": rejected_round_trip,
+    "ingest_audit": ingest_audit,
+    "reingest_corrected_files": reingest_corrected_files,
+    "ingest_announced": ingest_announced,
     "stream_ingest": stream_ingest,
 }

@@ -8,22 +8,33 @@ from remitspark import schema as S
 from remitspark.functions import iso_text
 
 ORDERS_PER_ROUND = 524288  # eight files of 65,536 rows each
+CORRECTED, CORRECTED_DAYS = 3, 31
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One clean transaction per order."""
+def transactions(spark: SparkSession, sf_dir: str, with_region: bool = True) -> DataFrame:
+    """One clean transaction per order. Every order has a customer, whose nation gives the region.
+
+    Without the region only the orders are read.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    if not with_region:
+        return orders.select(*_order_columns())
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    # nation and region have 25 and 5 rows at every scale; customer grows, so Spark picks.
-    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    homes = customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    homes = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "r_name"
     )
+    joined = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.select(*_order_columns(), F.col("r_name").alias("region"))
+
+
+def _order_columns() -> list[Column]:
+    """All columns of a transaction but the region."""
     k = F.col("o_orderkey")
     seconds = ((k * 37) % 86400).cast("int")
-    return orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select(
+    return [
         F.concat(F.lit("T"), k).alias("transaction_id"),
         (
             F.col("o_orderdate").cast("timestamp_ntz")
@@ -41,8 +52,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(k % 7, {0: "MOBILE", 1: "MOBILE", 2: "WEB", 3: "WEB", 4: "POS", 5: "TABLET"}).alias(
             "device_type"
         ),
-        F.col("r_name").alias("region"),
-    )
+    ]
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +165,80 @@ def write_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
     )
 
 
+def corrected_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text of the files that are sent again: without faults and on later days."""
+    k = F.substring("transaction_id", 2, 20).cast("long")
+    number = F.floor(k / ORDERS_PER_ROUND).cast("long") * 8 + k % 8
+    later = F.col("transaction_ts") + F.make_dt_interval(F.lit(CORRECTED_DAYS))
+    text = [F.col(c).cast("string").alias(c) for c in S.REQUIRED_COLUMNS if c != "transaction_ts"]
+    rows = transactions(spark, sf_dir).filter(k % 8 == CORRECTED)
+    return rows.select(
+        F.concat(F.lit("batch_"), number, F.lit(".csv")).alias("batch"), k.alias("row_pos"), iso_text(later).alias("transaction_ts"), *text
+    )
+
+
+def send_corrected_files(spark: SparkSession, sf_dir: str, raw_dir: str) -> list[str]:
+    """Puts corrected files in the place of those of :func:`write_raw_files`; returns their paths."""
+    jvm = spark.sparkContext._jvm
+    new_dir = f"{raw_dir}-corrected"
+    (
+        corrected_transactions(spark, sf_dir)
+        .repartition("batch")
+        .sortWithinPartitions("batch", "row_pos")
+        .select("batch", *S.REQUIRED_COLUMNS)
+        .write.partitionBy("batch")
+        .option("header", True)
+        .csv(new_dir)
+    )
+    system = jvm.org.apache.hadoop.fs.Path(raw_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sent = []
+    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{new_dir}/batch=*/*.csv")):
+        old = system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{raw_dir}/{status.getPath().getParent().getName()}/*.csv"))[0].getPath()
+        system.delete(old, False)
+        system.rename(status.getPath(), old)
+        sent.append(old.toString())
+    return sent
+
+
+def write_odd_files(spark: SparkSession, raw_dir: str) -> None:
+    """Adds files that need more than a plain scan: hidden, empty, undecodable, odd headers, open quotes."""
+    header, row = ",".join(S.REQUIRED_COLUMNS), "T1,2026/1/5,M1,C1,PM1,12.50,INR,SUCCESS,0,WEB,ASIA"
+    swapped = [",".join(reversed(line.split(","))) for line in (header, row)]
+    files = {
+        "odd/empty.csv": b"",
+        "odd/_under.csv": f"{header}\n{row}\n".encode(),
+        "_odd/in_hidden_folder.csv": f"{header}\n{row}\n".encode(),
+        "odd/.dot.csv": b"",
+        "odd/lacks_region.csv": f"{header.removesuffix(',region')}\n{row}\n".encode(),
+        "odd/bytes.csv": header.encode() + b"\nT1,2026/1/5,M\xff1,C1,PM1,12.50,INR,SUCCESS,0,WEB,ASIA\n",
+        "odd/swapped.csv": b"\xef\xbb\xbf" + "\r\n".join(swapped).encode(),
+        "odd/lines.csv": f'{header},note\n{row.replace("ASIA", chr(34) + "A" + chr(10) + "B" + chr(34))},x,y\n{row}\n'.encode(),
+        "odd/shapes.csv": f"{header}\n{row.replace('T1', ' T2 ').replace('12.50', '1_2.5e1')}\n{row.replace('2026/1/5', '1-2-2026 3:4')}\n".encode(),
+        "odd/open.csv": f'{header}\n{row.replace(",M1", "," + chr(34) + "M1")}\n'.encode() + f'{row.replace("C1", chr(34) * 2)}\n'.encode() * 4000,
+    }
+    jvm = spark.sparkContext._jvm
+    system = jvm.org.apache.hadoop.fs.Path(raw_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, data in files.items():
+        out = system.create(jvm.org.apache.hadoop.fs.Path(f"{raw_dir}/{name}"))
+        if data:
+            out.write(bytearray(data))
+        out.close()
+
+
+def announcements(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Arrival messages of the files in a folder ``raw``, in both envelopes and two buckets, some twice."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir).select("path")
+    key = F.regexp_extract("path", "(raw/batch=[^/]+/.*)$", 1)
+    number = F.regexp_extract("path", "batch_([0-9]+)", 1).cast("long")
+    bucket = F.when(number % 4 == 2, "archive").otherwise("landing")
+    thing = F.struct(F.struct(bucket.alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object"))
+    bus = F.struct(F.lit("aws.s3").alias("source"), F.lit("Object Created").alias("detail-type"), thing.alias("detail"))
+    direct = F.struct(F.array(F.struct(thing.alias("s3"))).alias("Records"))
+    messages = files.select(F.when(number % 2 == 0, F.to_json(bus)).otherwise(F.to_json(direct)).alias("json"))
+    return messages.union(messages.limit(3))
+
+
 def batch_name(source_file: Column) -> Column:
-    """The ``source_file`` of :func:`raw_transactions` for a file of :func:`write_raw_files`."""
-    return F.regexp_extract(source_file, "batch=([^/]+)/", 1)
+    """The ``source_file`` of :func:`raw_transactions` for a file of :func:`write_raw_files`; others as they are."""
+    batch = F.regexp_extract(source_file, "batch=([^/]+)/", 1)
+    return F.when(batch == "", source_file).otherwise(batch)

@@ -43,11 +43,14 @@ MISSING_REGION = "MISSING_REGION"
 MISSING_REQUIRED_COLUMNS = "MISSING_REQUIRED_COLUMNS"
 FIELD_TOO_LARGE = "FIELD_TOO_LARGE"
 STRAY_CARRIAGE_RETURN = "STRAY_CARRIAGE_RETURN"
+INVALID_ENCODING = "INVALID_ENCODING"
+HIDDEN_NAME = "HIDDEN_NAME"
 
-# Longest CSV field, in characters, that a file may hold (Python's csv default).
+# Longest CSV field, in characters, that a file may hold unless the caller says otherwise
+# (Python's csv default).
 MAX_FIELD_CHARS = 131072
 
-# Strict lower bound of a "high value" transaction.
+# Strict lower bound of a "high value" transaction.
 HIGH_VALUE = 100000
 
 TRANSACTIONS = T.StructType(
@@ -67,15 +70,15 @@ TRANSACTIONS = T.StructType(
 )
 
 # Directory columns of the processed dataset. Strings, so that "01" stays "01".
-PROCESSED_PARTITIONS = ["year", "month", "day", "source_file"]
+PROCESSED_PARTITIONS = ["year", "month", "day", "run_id"]
 
 PROCESSED = T.StructType(
-    TRANSACTIONS.fields + [T.StructField(c, T.StringType()) for c in PROCESSED_PARTITIONS]
+    TRANSACTIONS.fields + [T.StructField(c, T.StringType()) for c in ["source_file", *PROCESSED_PARTITIONS]]
 )
 
 REJECTED = T.StructType(
     [T.StructField(c, T.StringType()) for c in REQUIRED_COLUMNS]
-    + [T.StructField("rejection_reason", T.StringType()), T.StructField("source_file", T.StringType())]
+    + [T.StructField(c, T.StringType()) for c in ("rejection_reason", "source_file", "run_id")]
 )
 
 AUDIT = T.StructType(
@@ -86,6 +89,7 @@ AUDIT = T.StructType(
         T.StructField("processed_key", T.StringType()),
         T.StructField("rejected_key", T.StringType()),
         T.StructField("file_error", T.StringType()),
+        T.StructField("run_time", T.TimestampType()),
         T.StructField("run_id", T.StringType()),
     ]
 )

@@ -44,6 +44,14 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A work folder for a result that is read later; it goes when the session's process ends."""
+    folder = new_work_folder(spark, label)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def drop_work_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by :func:`new_work_folder`."""
     jvm = spark.sparkContext._jvm

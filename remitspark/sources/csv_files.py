@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from urllib.parse import unquote
 
@@ -49,6 +50,7 @@ def read_raw(
     paths: list[str] | None = None,
     folder: str | None = None,
     derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    max_field_chars: int = S.MAX_FIELD_CHARS,
 ) -> tuple[DataFrame, DataFrame]:
     """Reads every admitted file below ``raw_dir``, or only ``paths``.
 
@@ -58,14 +60,24 @@ def read_raw(
     one scan and never computed twice. Files with a ``file_error`` have no rows. The header
     is the first row of its file in ``rows``; it never passes validation, and
     :func:`without_headers` removes it.
+
+    Files that a scan does not show are in ``files`` too: those without a byte lack all
+    columns, and those with a hidden name (``_`` or ``.`` in front, of the file or a folder)
+    are refused for it. A field of more than ``max_field_chars`` refuses its file.
     """
     folder = folder or new_work_folder(spark, "raw")
-    lines = L.scan_lines(spark, paths or [raw_dir])
+    if paths is None:
+        scanned, hidden = [raw_dir], L.hidden_files(spark, raw_dir)
+    else:
+        names = {path: _name_below(raw_dir, path) for path in paths}
+        scanned = [path for path in paths if not L.is_hidden(names[path])]
+        hidden = sorted({names[path] for path in paths if L.is_hidden(names[path])})
+    lines = L.scan_lines(spark, scanned) if scanned else spark.createDataFrame([], L.LINES)
 
     # collect_set holds at most the three kinds; being an object aggregate it also lets
     # min_by keep its text buffer in a hash map instead of sorting every line by file.
     kind = F.when(C.ends_open_from_outside(F.col("line")), OPEN).otherwise(
-        C.record_fault(C.trim_line_end(F.col("line")))
+        C.record_fault(C.trim_line_end(F.col("line")), max_field_chars)
     )
     profile = store(
         lines.groupBy("path").agg(
@@ -84,23 +96,23 @@ def read_raw(
 
     headers = plain_files
     if spanning:
-        records, quoted_files = _spanning_records(lines, quoted_names, folder)
+        records, quoted_files = _spanning_records(lines, quoted_names, folder, max_field_chars)
         headers = headers.unionByName(quoted_files)
     checked = check_header(headers.withColumn("header", C.fields(C.trim_line_end(F.col("header_line")))))
     missing = F.when(
         F.size("missing") > 0,
         F.concat(F.lit(S.MISSING_REQUIRED_COLUMNS + ": "), F.array_join("missing", ", ")),
     )
-    files = store(
-        checked.select(
-            "path",
-            "line_count",
-            _below(qualified(spark, raw_dir), F.col("path")).alias("source_file"),
-            "positions",
-            F.coalesce(missing, F.col("fault")).alias("file_error"),
-        ),
-        f"{folder}/files",
+    empty = L.empty_files(spark, scanned, profile) if scanned else spark.createDataFrame([], "path string")
+    root = qualified(spark, raw_dir)
+    seen = checked.select(
+        "path",
+        "line_count",
+        _below(root, F.col("path")).alias("source_file"),
+        "positions",
+        F.coalesce(missing, F.col("fault")).alias("file_error"),
     )
+    files = store(_with_unseen(seen, empty, hidden, root), f"{folder}/files")
 
     readable = files.filter(F.col("file_error").isNull()).select("path", "line_count", "source_file", "positions")
     plain = readable.join(quoted_names.select("path"), "path", "left_anti") if spanning else readable
@@ -136,6 +148,27 @@ def _bind(lines: DataFrame, files: DataFrame) -> DataFrame:
     return values.select("source_file", "row_pos", *bound)
 
 
+def _name_below(raw_dir: str, path: str) -> str:
+    """Path relative to the raw folder if both are written alike, else the file's own name."""
+    root, file = (re.sub(r"\\(.)", r"\1", re.sub("^file:/*", "/", p)).rstrip("/") for p in (raw_dir, path))
+    return file.removeprefix(root + "/") if file.startswith(root + "/") else file.rsplit("/", 1)[-1]
+
+
+def _with_unseen(files: DataFrame, empty: DataFrame, hidden: list[str], root: str) -> DataFrame:
+    """The files of a scan and those it does not show, with the reason."""
+    lacks_all = f"{S.MISSING_REQUIRED_COLUMNS}: {', '.join(S.REQUIRED_COLUMNS)}"
+    nothing = F.lit(None)
+
+    def refused(rows: DataFrame, name: Column, error: str) -> DataFrame:
+        columns = {"line_count": F.lit(0), "source_file": name, "positions": nothing, "file_error": F.lit(error)}
+        return rows.select("path", *[v.cast(files.schema[k].dataType).alias(k) for k, v in columns.items()])
+
+    names = files.sparkSession.createDataFrame([(name,) for name in hidden], "path string")
+    return files.unionByName(refused(empty, _below(root, F.col("path")), lacks_all)).unionByName(
+        refused(names, F.col("path"), S.HIDDEN_NAME)
+    )
+
+
 def _below(root: str, path: Column) -> Column:
     """Decoded path relative to ``root``. A plus sign in a path is a plus sign."""
     path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
@@ -144,7 +177,7 @@ def _below(root: str, path: Column) -> Column:
 
 
 def _spanning_records(
-    lines: DataFrame, names: DataFrame, folder: str
+    lines: DataFrame, names: DataFrame, folder: str, max_field_chars: int
 ) -> tuple[DataFrame, DataFrame]:
     """Whole records of the files in which some record spans lines, and those files' headers."""
 
@@ -159,11 +192,11 @@ def _spanning_records(
     else:
         mine = flagged(lines, names).filter("flag").drop("flag")
     resolved = store(L.resolve_lines(store(mine, f"{folder}/quoted_lines")), f"{folder}/resolved")
-    overlong = store(L.overlong_files(resolved).join(names, "path"), f"{folder}/overlong")
+    overlong = store(L.overlong_files(resolved, max_field_chars).join(names, "path"), f"{folder}/overlong")
     bounded = flagged(resolved, overlong).filter(F.col("flag").isNull()).drop("flag")
     records = store(L.join_lines(bounded), f"{folder}/records")
 
-    fault = C.record_fault(C.trim_line_end(F.col("line"))).alias("fault")
+    fault = C.record_fault(C.trim_line_end(F.col("line")), max_field_chars).alias("fault")
     faults = (
         records.select("path", fault)
         .unionByName(overlong.select("path", F.lit(S.FIELD_TOO_LARGE).alias("fault")))

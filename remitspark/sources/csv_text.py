@@ -18,6 +18,7 @@ FIELD_WITHOUT_CR = f'(?:"{QUOTED_BODY}"[^,\r]*+|[^",\r][^,\r]*+|)'
 COMPLETE = rf"^{FIELD}(?:,{FIELD})*+\z"
 COMPLETE_WITHOUT_CR = rf"^{FIELD_WITHOUT_CR}(?:,{FIELD_WITHOUT_CR})*+\z"
 CLOSES = rf'^{QUOTED_BODY}"[^,]*+(?:,{FIELD})*+\z'
+CLOSES_FIRST = f'^{QUOTED_BODY}"'
 
 QUOTED_FIELD = f'^,"({QUOTED_BODY})"?([^,]*+)'
 ANY_FIELD = f',(?:"{QUOTED_BODY}"?[^,]*+|[^",][^,]*+|)'
@@ -37,6 +38,11 @@ def ends_open_from_inside(line: Column) -> Column:
     return ~has_quote(line) | ~line.rlike(CLOSES)
 
 
+def within_field(line: Column) -> Column:
+    """All of a line that starts inside quotes belongs to that field, doubled quotes too."""
+    return ~has_quote(line) | ~line.rlike(CLOSES_FIRST)
+
+
 def trim_line_end(record: Column) -> Column:
     return F.rtrim(record, F.lit("\r"))
 
@@ -55,10 +61,14 @@ def fields(record: Column) -> Column:
     return F.when(has_quote(record), F.transform(tokens, unquote)).otherwise(F.split(record, ",", -1))
 
 
-def record_fault(record: Column) -> Column:
+def record_fault(record: Column, max_field_chars: int = S.MAX_FIELD_CHARS) -> Column:
     """Reason why this record makes its whole file unreadable, or null."""
-    too_large = (F.length(record) > S.MAX_FIELD_CHARS) & F.exists(
-        fields(record), lambda v: F.length(v) > S.MAX_FIELD_CHARS
+    too_large = (F.length(record) > max_field_chars) & F.exists(
+        fields(record), lambda v: F.length(v) > max_field_chars
     )
     stray_cr = F.contains(record, F.lit("\r")) & ~record.rlike(COMPLETE_WITHOUT_CR)
-    return F.when(too_large, S.FIELD_TOO_LARGE).when(stray_cr, S.STRAY_CARRIAGE_RETURN)
+    return (
+        F.when(~F.is_valid_utf8(record), S.INVALID_ENCODING)
+        .when(too_large, S.FIELD_TOO_LARGE)
+        .when(stray_cr, S.STRAY_CARRIAGE_RETURN)
+    )

@@ -40,11 +40,12 @@ def route_notifications(
         (F.col("event.source") == BUS_SOURCE) & (F.col("event.detail-type") == BUS_DETAIL_TYPE), F.lit(False)
     )
     records = F.col("event.Records.s3")
+    has_records = F.coalesce(F.array_contains(F.json_object_keys("json"), "Records"), F.lit(False))
     found = F.when(is_bus, F.array("event.detail")).otherwise(records)
     rows = (
         log.withColumn("event", event)
-        .withColumns({"is_bus": is_bus, "found": found})
-        .withColumn("is_known", F.col("is_bus") | F.col("found").isNotNull())
+        .withColumns({"is_bus": is_bus, "found": found, "has_records": has_records})
+        .withColumn("is_known", F.col("is_bus") | F.col("has_records"))
         .withColumn("object", F.explode_outer("found"))
         .withColumns({"bucket": F.col("object.bucket.name"), "raw_key": F.col("object.object.key")})
     )
@@ -64,5 +65,5 @@ def route_notifications(
         rows.withColumn("key", key)
         .withColumns({"status": status, "error": error})
         .withColumn("bucket", F.when(valid, F.col("bucket")))
-        .drop("event", "is_bus", "found", "is_known", "object", "raw_key")
+        .drop("event", "is_bus", "found", "has_records", "is_known", "object", "raw_key")
     )

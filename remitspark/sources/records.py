@@ -15,6 +15,9 @@ from remitspark.session import conf_bytes
 from remitspark.sources import csv_text as C
 
 
+LINES = "path string, block long, row_pos long, line string"
+
+
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path, block, row_pos, line`` for every line of the admitted files.
 
@@ -28,10 +31,7 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        spark.read.option("lineSep", "\n")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("recursiveFileLookup", True)
-        .text(paths)
+        _text(spark, paths)
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -47,6 +47,54 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def is_hidden(name: str) -> bool:
+    """Whether file listings skip the name: a part of it starts with ``.``, or with ``_`` and has no ``=``."""
+    return any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in name.split("/"))
+
+
+def hidden_files(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Admitted files below ``raw_dir`` that the listing of a scan skips, relative to it.
+
+    Asks for hidden names only, depth by depth, so that other files never reach this process.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(raw_dir)
+    system = root.getFileSystem(conf)
+    base = literal_path(system.makeQualified(root).toString().rstrip("/"))
+    top = len(system.makeQualified(root).toUri().getPath().rstrip("/")) + 1
+    found, level = [], ""
+    while True:
+        for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}{level}/[_.]*")) or []:
+            files = system.listFiles(status.getPath(), True)
+            while files.hasNext():
+                found.append(files.next().getPath().toUri().getPath()[top:])
+        level += "/*"
+        if not system.globStatus(jvm.org.apache.hadoop.fs.Path(base + level)):
+            return sorted({name for name in found if name.lower().endswith(".csv") and is_hidden(name)})
+
+
+def _text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return (
+        spark.read.option("lineSep", "\n")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .option("recursiveFileLookup", True)
+        .text(paths)
+    )
+
+
+def empty_files(spark: SparkSession, paths: list[str], profile: DataFrame) -> DataFrame:
+    """``path`` of every admitted file without a byte: listed, but not in ``profile``, one row a file.
+
+    Names come to this process only if the listing has more files than the profile.
+    """
+    listed = _text(spark, paths)._jdf.inputFiles()
+    if len(listed) == profile.count():
+        return spark.createDataFrame([], "path string")
+    names = spark.createDataFrame([(name,) for name in listed], "path string")
+    same = F.regexp_replace("path", "^file:/+", "file:/").alias("plain")
+    return names.select("path", same).join(profile.select(same), "plain", "left_anti").select("path")
+
+
 def literal_path(path: str) -> str:
     """Keeps ``[x]`` and the like in a file name from being read as a pattern."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
@@ -124,23 +172,27 @@ def resolve_lines(lines: DataFrame) -> DataFrame:
                 F.col("carried_record"),
             ),
         )
-        # Lines without a quote that start inside one belong wholly to its field; the
-        # number of quote-bearing lines so far tells such runs apart.
-        .withColumn("run", F.count(F.when(C.has_quote(F.col("line")), 1)).over(up_to_here))
-        .select("path", "block", "row_pos", "record_pos", "inside", "opens", "run", "line")
+        # The number of lines so far that do not belong wholly to a field which is open
+        # before them tells the fields that go on over lines apart.
+        .withColumn("is_within", (F.col("inside") == 1) & C.within_field(F.col("line")))
+        .withColumn("run", F.count(F.when(~F.col("is_within"), 1)).over(up_to_here))
+        .select("path", "block", "row_pos", "record_pos", "inside", "opens", "is_within", "run", "line")
     )
 
 
-def overlong_files(resolved: DataFrame) -> DataFrame:
-    """Files with a quoted field that runs past the limit within one split.
+def overlong_files(resolved: DataFrame, max_field_chars: int = S.MAX_FIELD_CHARS) -> DataFrame:
+    """Files with a quoted field whose whole lines run past the limit within one split.
 
-    Keeps an unclosed quote from gathering the rest of a file into one record.
+    Keeps an unclosed quote from gathering the rest of a file into one record: a field that
+    no split finds too long is shorter than the limit in each split it touches. Doubled
+    quotes count once, as in the field's value.
     """
-    whole_lines = resolved.filter((F.col("inside") == 1) & ~C.has_quote(F.col("line")))
+    chars = F.length(F.replace(F.col("line"), F.lit('""'), F.lit('"'))) + 1
     return (
-        whole_lines.groupBy("path", "block", "run")
-        .agg(F.sum(F.length("line") + 1).alias("chars"))
-        .filter(F.col("chars") > S.MAX_FIELD_CHARS)
+        resolved.filter("is_within")
+        .groupBy("path", "block", "run")
+        .agg(F.sum(chars).alias("chars"))
+        .filter(F.col("chars") > max_field_chars)
         .select("path")
         .distinct()
     )

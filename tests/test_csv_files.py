@@ -89,15 +89,34 @@ FILES = {
     "too_large_field.csv": f"{HEADER}\n{line(region='r' * (S.MAX_FIELD_CHARS + 1))}\n{ROW}\n".encode(),
     "long_line.csv": f"{HEADER}\n{ROW},{',x' * S.MAX_FIELD_CHARS}\n".encode(),
     "unclosed.csv": (HEADER + "\n" + line(merchant_id='"oops') + "\n" + (ROW + "\n") * 4000).encode(),
+    "unclosed_doubled.csv": (HEADER + "\n" + line(merchant_id='"oops') + "\n" + (line(customer_id='""') + "\n") * 4000).encode(),
+    "doubled.csv": (HEADER + "\n" + line(region='"' + '""\n' * 50000 + '"') + "\n" + ROW + "\n").encode(),
+    "bytes.csv": f"{HEADER}\n{ROW}\n".encode() + line(merchant_id="M?1").encode().replace(b"?", b"\xff") + b"\n",
+    "bytes_in_quotes.csv": f"{HEADER}\n".encode() + line(merchant_id='"M\n?1"').encode().replace(b"?", b"\xe9") + b"\n",
     "too_large_quoted.csv": (HEADER + "\n" + line(region='"' + "ab\n" * 50000 + '"') + "\n" + ROW + "\n").encode(),
     "large_quoted.csv": (HEADER + "\n" + line(region='"' + "ab\n" * 40000 + '"') + "\n" + ROW + "\n").encode(),
 }
 
 
+def test_no_record_grows_beyond_the_limit(spark, conf, tmp_path):
+    """A stray quote before rows with empty quoted values, over many splits: nothing long is put together."""
+    conf("spark.sql.files.maxPartitionBytes", "262144")
+    conf("spark.sql.files.openCostInBytes", "65536")
+    rows = (HEADER + "\n" + line(merchant_id='"oops') + "\n" + (line(customer_id='""') + "\n") * 40000).encode()
+    (tmp_path / "stray.csv").write_bytes(rows)
+    (tmp_path / "good.csv").write_bytes(f"{HEADER}\n{ROW}\n".encode())
+    resolved = records.resolve_lines(records.scan_lines(spark, [str(tmp_path)]))
+    assert resolved.select("path", "block").distinct().count() > 4
+    assert [r.path.rsplit("/", 1)[1] for r in records.overlong_files(resolved).collect()] == ["stray.csv"]
+    rows, errors = read_back(spark, tmp_path)
+    assert errors == {"stray.csv": S.FIELD_TOO_LARGE, "good.csv": None} and len(rows["good.csv"]) == 1
+
+
 def test_every_kind_of_file(spark, tmp_path):
     (tmp_path / "notes.txt").write_text(f"{HEADER}\n{ROW}\n")
     (tmp_path / "empty.csv").write_bytes(b"")
     errors = check(spark, tmp_path, FILES)
+    assert errors.pop("empty.csv") == "MISSING_REQUIRED_COLUMNS: " + ", ".join(S.REQUIRED_COLUMNS)
     assert set(errors) == set(FILES)
     assert {name: e for name, e in errors.items() if e} == {
         "lacks_region.csv": "MISSING_REQUIRED_COLUMNS: region",
@@ -107,6 +126,9 @@ def test_every_kind_of_file(spark, tmp_path):
         "lone_cr.csv": S.STRAY_CARRIAGE_RETURN,
         "too_large_field.csv": S.FIELD_TOO_LARGE,
         "unclosed.csv": S.FIELD_TOO_LARGE,
+        "unclosed_doubled.csv": S.FIELD_TOO_LARGE,
+        "bytes.csv": S.INVALID_ENCODING,
+        "bytes_in_quotes.csv": S.INVALID_ENCODING,
         "too_large_quoted.csv": S.FIELD_TOO_LARGE,
     }
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import random
 
 import pytest
@@ -10,12 +11,13 @@ from remitspark import schema as S
 from remitspark import tables
 from remitspark.operators import sinks, warehouse
 from remitspark.plans.checks import CHECKS
-from remitspark.plans.ingest import ingest, ingest_and_load
+from remitspark.plans.ingest import ingest, ingest_and_load, ingest_notifications
 from remitspark.session import new_work_folder
+from remitspark.sources.records import literal_path
 from remitspark.streaming.arrivals import ingest_stream
-from remitspark.tables import store
 from tests import rowwise
 from tests.test_csv_files import HEADER, ROW, line
+from tests.test_notifications import bus, direct
 from tests.test_validate import BREAKS, GOOD
 
 
@@ -64,12 +66,12 @@ def expected(files):
 
 def verify(spark, out, files):
     want = expected(files)
-    audit = {r.source_file: r for r in sinks.read_audit(spark, f"{out}/audit").collect()}
+    audit = {r.source_file: r for r in sinks.read_audit(spark, out).collect()}
     assert set(audit) == set(files)
     valid, rejected = {}, {}
-    for r in sinks.read_processed(spark, f"{out}/processed").collect():
+    for r in sinks.read_processed(spark, out).collect():
         valid.setdefault(r.source_file, []).append(r)
-    for r in sinks.read_rejected(spark, f"{out}/rejected").collect():
+    for r in sinks.read_rejected(spark, out).collect():
         rejected.setdefault(r.source_file, []).append(r)
     for name, w in want.items():
         if w is None:
@@ -112,8 +114,10 @@ def test_ingest(spark, conf, monkeypatch, tmp_path, threshold, share):
         assert {(r.year, r.month, r.day) for r in rows} == {
             (str(first.year), f"{first.month:02d}", f"{first.day:02d}")
         }
-    # One output file per source file and task, whatever the join.
-    assert len(glob.glob(f"{out}/processed/*/*/*/source_file=in%2Ff0.csv/*.parquet")) == 1
+    # A directory per date and run, not per source file.
+    assert {r.run_id for r in audit.collect()} == {p.rsplit("=", 1)[1] for p in glob.glob(f"{out}/processed/*/*/*/*")}
+    dates = {(r.year, r.month, r.day) for rows in valid.values() for r in rows}
+    assert len(glob.glob(f"{out}/processed/*/*/*/*")) == len(dates)
     assert glob.glob(f"{out}/processed/**/*.snappy.parquet", recursive=True)
 
 
@@ -128,22 +132,82 @@ def test_partition_by_row_date(spark, tmp_path):
         ingest(spark, str(tmp_path / "raw"), out, partition_by="hour")
 
 
-def test_running_a_file_again_replaces_its_output(spark, tmp_path):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_corrected_file_replaces_its_output(spark, conf, tmp_path, threshold):
+    """Its rows on another date, its rejects, and its rows in the table."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    files, table = sample_files(), f"corrected_{abs(int(threshold.removesuffix('MB')))}"
+    put(tmp_path / "raw", files)
+    out = str(tmp_path / "out")
+    ingest_and_load(spark, str(tmp_path / "raw"), out, table=table)
+    again = {"in/f0.csv": csv_text([GOOD | {"transaction_id": "NEW", "transaction_ts": "2031/05/06"}]).encode(),
+             "all bad.csv": csv_text([GOOD]).encode(), "quoted.csv": csv_text([GOOD | {"status": "?"}]).encode()}
+    files |= again
+    put(tmp_path / "raw", again)
+    audit = ingest_and_load(spark, str(tmp_path / "raw"), out, table=table, paths=[str(tmp_path / "raw" / name) for name in again])
+    assert sorted((r.source_file, r.total_valid_records, r.total_rejected_records) for r in audit.collect()) == [
+        ("all bad.csv", 1, 0), ("in/f0.csv", 1, 0), ("quoted.csv", 0, 1),
+    ]
+    want = expected(files)
+    rows = sinks.read_processed(spark, out)
+    assert rows.filter("source_file = 'in/f0.csv'").select("year", "transaction_id").collect() == [("2031", "NEW")]
+    assert rows.count() == spark.table(table).count() == sum(len(w[0]) for w in want.values() if w)
+    rejected = {r.source_file: r["count"] for r in sinks.read_rejected(spark, out).groupBy("source_file").count().collect()}
+    assert rejected == {name: len(w[1]) for name, w in want.items() if w and w[1]}
+
+
+def test_a_run_again_under_its_id_replaces_itself(spark, tmp_path):
     files = sample_files()
     put(tmp_path / "raw", files)
     out = str(tmp_path / "out")
-    ingest(spark, str(tmp_path / "raw"), out, run_id="r1")
-    again = "in/f0.csv"
-    files[again] = csv_text([GOOD | {"transaction_ts": "2026/01/01"}, GOOD | {"status": "?"}]).encode()
-    first = expected(sample_files())[again][0][0]["transaction_ts"]
-    files[again] = csv_text([GOOD | {"transaction_ts": first}, GOOD | {"transaction_id": "U", "status": "?"}]).encode()
+    for _ in range(2):
+        ingest(spark, str(tmp_path / "raw"), out, run_id="r1")
+        verify(spark, out, files)
+
+
+def test_no_paths_is_nothing(spark, tmp_path):
+    put(tmp_path / "raw", {"a.csv": f"{HEADER}\n{ROW}\n".encode()})
+    out = str(tmp_path / "out")
+    assert ingest(spark, str(tmp_path / "raw"), out, paths=[]).collect() == []
+    assert not (tmp_path / "out").exists()
+
+
+def test_every_admitted_file_has_an_audit_row(spark, tmp_path):
+    files = {
+        "a.csv": f"{HEADER}\n{ROW}\n".encode(), "empty.csv": b"", "d/EMPTY.CSV": b"", "_u.csv": ROW.encode(), "d/.dot.Csv": b"",
+        "_h/deep/er/x.csv": ROW.encode(), "_k=1/b.csv": f"{HEADER}\n{ROW}\n".encode(), "d/[x]{y}/_z.csv": b"x", "_no.txt": b"x",
+    }
     put(tmp_path / "raw", files)
-    audit = ingest(spark, str(tmp_path / "raw"), out, paths=[str(tmp_path / "raw" / again)], run_id="r1")
-    assert [(r.source_file, r.total_valid_records, r.total_rejected_records) for r in audit.collect()] == [(again, 1, 1)]
-    rows = sinks.read_processed(spark, f"{out}/processed").filter(F.col("source_file") == again)
-    assert rows.count() == 1
-    assert sinks.read_rejected(spark, f"{out}/rejected").filter(F.col("source_file") == again).count() == 1
-    assert sinks.read_processed(spark, f"{out}/processed").select("source_file").distinct().count() == 6
+    want = {name for name in files if name.lower().endswith(".csv")}
+    for n, paths in enumerate((None, [literal_path(str(tmp_path / "raw" / name)) for name in sorted(want)])):
+        audit = {r.source_file: r.file_error for r in ingest(spark, str(tmp_path / "raw"), str(tmp_path / f"out{n}"), paths).collect()}
+        assert set(audit) == want
+        assert {k for k, v in audit.items() if v is None} == {"a.csv", "_k=1/b.csv"}
+        assert {k for k, v in audit.items() if v == S.HIDDEN_NAME} == {"_u.csv", "d/.dot.Csv", "_h/deep/er/x.csv", "d/[x]{y}/_z.csv"}
+        assert audit["empty.csv"] == audit["d/EMPTY.CSV"] == f"{S.MISSING_REQUIRED_COLUMNS}: {', '.join(S.REQUIRED_COLUMNS)}"
+    only_hidden = ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out3"), [str(tmp_path / "raw" / "_u.csv")])
+    assert [(r.source_file, r.file_error) for r in only_hidden.collect()] == [("_u.csv", S.HIDDEN_NAME)]
+
+
+def test_longest_field_is_an_option(spark, tmp_path):
+    put(tmp_path / "raw", {"a.csv": f"{HEADER}\n{line(region='r' * 50)}\n".encode(), "b.csv": (f"{HEADER}\n" + line(region='"' + 'r\n' * 30 + '"')).encode()})
+    for limit, error in ((40, S.FIELD_TOO_LARGE), (80, None)):
+        audit = ingest(spark, str(tmp_path / "raw"), str(tmp_path / f"out{limit}"), max_field_chars=limit)
+        assert {r.file_error for r in audit.collect()} == {error}
+
+
+def test_notifications_start_the_ingest(spark, tmp_path):
+    files = {"raw/a b.csv": f"{HEADER}\n{ROW}\n".encode(), "raw/c.csv": f"{HEADER}\n{line(status='?')}\n".encode(), "raw/d.csv": f"{HEADER}\n{ROW}\n".encode()}
+    put(tmp_path / "landing", files)
+    messages = [bus("raw/a+b.csv"), direct("raw/a+b.csv", "raw/c.csv"), bus("raw/x.txt"), bus("raw/d.csv", bucket="other"), bus("raw/c.csv")]
+    log = spark.createDataFrame([(json.dumps(m),) for m in messages] + [("no json",)], "json string")
+    out = str(tmp_path / "out")
+    audit = ingest_notifications(spark, log, str(tmp_path / "landing"), out, bucket="landing", max_files=1)
+    got = sorted((r.source_file, r.total_valid_records, r.total_rejected_records) for r in audit.collect())
+    assert got == [("raw/a b.csv", 1, 0), ("raw/c.csv", 0, 1)]
+    assert audit.select("run_id").distinct().count() == 2
+    nothing = ingest_notifications(spark, log.filter("json = 'no json'"), str(tmp_path / "landing"), out, bucket="landing")
+    assert nothing.collect() == []
 
 
 def test_work_folder_is_left_clean(spark, tmp_path):
@@ -188,21 +252,21 @@ def test_load_modes(spark, tmp_path):
     assert spark.table("tx_load").count() == total
     assert spark.table("tx_load").dtypes == [(f.name, f.dataType.simpleString()) for f in S.TRANSACTIONS.fields]
 
-    processed = sinks.read_processed(spark, f"{out}/processed")
-    names = store(processed.groupBy("source_file").agg(F.count("*").alias("row_count")), str(tmp_path / "names"))
-    plan = warehouse.only_files(processed, names)._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruningexpression(source_file" in plan
+    some = sinks.read_audit(spark, out).first().run_id
+    plan = warehouse.runs(sinks.all_processed(spark, out), [some])._jdf.queryExecution().executedPlan().toString()
+    partitions = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "run_id" in partitions and some in partitions
 
     more = {"late.csv": f"{HEADER}\n{ROW}\n".encode()}
     put(tmp_path / "raw", more)
     ingest(spark, str(tmp_path / "raw"), out, paths=[str(tmp_path / "raw" / "late.csv")])
     for _ in range(2):
-        warehouse.load(spark, f"{out}/processed", "tx_load", mode="incremental")
+        warehouse.load(spark, out, "tx_load", mode="incremental")
         assert spark.table("tx_load").count() == total + 1
-    warehouse.load(spark, f"{out}/processed", "tx_load", mode="append")
+    warehouse.load(spark, out, "tx_load", mode="append")
     assert spark.table("tx_load").count() == 2 * (total + 1)
     with pytest.raises(ValueError):
-        warehouse.load(spark, f"{out}/processed", "tx_load", mode="merge")
+        warehouse.load(spark, out, "tx_load", mode="merge")
 
     tx = warehouse.transactions(spark, "tx_load")
     assert CHECKS["loaded_count"](tx).first()[0] == 2 * (total + 1)
@@ -226,7 +290,7 @@ def test_stream_equals_batch_and_restarts_where_it_stopped(spark, tmp_path):
 
     run()
     verify(spark, out, files)
-    assert sinks.read_audit(spark, f"{out}/audit").select("run_id").distinct().count() == 3
+    assert sinks.read_audit(spark, out).select("run_id").distinct().count() == 3
     before = sorted(glob.glob(f"{out}/**/*.*", recursive=True))
     run()
     assert sorted(glob.glob(f"{out}/**/*.*", recursive=True)) == before

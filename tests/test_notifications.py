@@ -33,6 +33,7 @@ CASES = [
     (bus("raw/a.csv", **{"detail-type": "x"}) | direct("b.csv"), [("landing", "b.csv", N.ACCEPTED, None)]),
     (bus("raw/a.csv", detail={}), [(*BAD, N.INVALID)]),
     (bus("raw/a.csv", detail=None), [(*BAD, N.INVALID)]),
+    ({"Records": None}, [(*BAD, N.INVALID)]),
     ({"hello": 1}, [(*BAD, N.UNSUPPORTED)]),
     ("not json", [(*BAD, N.UNSUPPORTED)]),
     ([1], [(*BAD, N.UNSUPPORTED)]),

@@ -11,7 +11,9 @@ duckdb = pytest.importorskip("duckdb")
 import __spark_entry__ as driver  # noqa: E402
 from remitspark import sampledata  # noqa: E402
 from remitspark import schema as S  # noqa: E402
+from remitspark.oracle_sql import ORACLE_SQL  # noqa: E402
 from remitspark.plans.analytics import QUERIES  # noqa: E402
+from remitspark.plans.registry import REGISTRY  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -26,10 +28,24 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE_SQL)
+    assert set(REGISTRY) <= set(driver.queries()) and set(ORACLE_SQL) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_every_order_has_its_customer(spark):
+    """What leaves the region out may leave its tables out."""
+    for scale in ("sf0.001", "sf0.01", "sf0.1"):
+        folder = f"{os.path.dirname(DATA)}/{scale}"
+        if os.path.isdir(folder):
+            assert sampledata.transactions(spark, folder).count() == sampledata.transactions(spark, folder, False).count()
+
+
+def test_only_orders_are_read_without_the_region(spark):
+    plan = driver.queries()["total_transactions"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, duck, name):
     df = driver.queries()[name](spark, DATA)
     got = [tuple(r) for r in df.collect()]
