@@ -36,6 +36,8 @@ CELL = np.dtype([("count", "<i4"), ("digests", "<u8"), ("checks", "<u4")])
 SALTS = mix(np.arange(1, 4, dtype=np.uint64) + BASE)
 BUCKET_ROWS = 4000
 MOST_BUCKETS = 10_000
+#: Both versions of a slice are hashed side by side, so slices are small.
+SLICE_BYTES = 1 << 19
 
 
 class Digests:
@@ -178,7 +180,7 @@ def compare(versions: DataFrame, old_col: str, new_col: str, *keep: str) -> Data
     arrow = arrow_schema(schema)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             old, new = Digests(batch.column("text")), Digests(batch.column("new_text"))
             old_tables, new_tables = fingerprints(old), fingerprints(new)
             same = np.arange(batch.num_rows)
@@ -252,7 +254,7 @@ def edited_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: pa.RecordBatch | None = None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             both = pa.Table.from_batches([waiting, batch] if waiting else [batch]).combine_chunks().to_batches()[0]
             waiting = both.slice(both.num_rows - 1)
             bucket = both.column("bucket").to_numpy()
