@@ -91,7 +91,7 @@ def mark_duplicates(checked: DataFrame, repeated: DataFrame, small: bool | None
     if small is None:
         joined = keyed.join(repeated.drop("row_count"), keys, "left")
     else:
-        joined = lookup(keyed, repeated, keys, "row_count", F.col("row_pos"), small)
+        joined = lookup(keyed, repeated, keys, "row_count", F.col("row_pos"), small, sparse=True)
     reason = F.when(F.col("row_pos") > F.col("first_valid_pos"), S.DUPLICATE_TRANSACTION_ID).otherwise(
         F.col("fault")
     )

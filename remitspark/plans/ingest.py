@@ -52,7 +52,7 @@ def ingest(
         few_repeated = fits_broadcast(repeated)
         marked = V.mark_duplicates(checked, repeated, few_repeated)
         if not few_repeated:
-            # Every row is shuffled; stored, so that it happens once and not per output.
+            # Rows of ids that may be repeated are shuffled; stored, so that it happens once.
             marked = store(marked, f"{folder}/marked")
         summary = store(A.file_summary(marked), f"{folder}/summary")
 

@@ -12,6 +12,8 @@ from remitspark.session import conf_bytes
 
 HEAVY_SHARE = 10_000
 HEAVY_KEY_CHARS = 1_000
+#: Words of 64 bits in the bitmap of hashed keys: 4 MB, whatever the table's size.
+BITMAP_WORDS = 1 << 18
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -37,8 +39,30 @@ def fits_broadcast(df: DataFrame) -> bool:
     return total <= limit
 
 
+def without_match(rows: DataFrame, table: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have their key in ``table``, and rows that surely do not.
+
+    A bitmap of the table's hashed keys tells, which is broadcast: it has at most
+    ``BITMAP_WORDS`` rows. The more keys the table has, the fewer rows it can rule out.
+    """
+    at = F.pmod(F.xxhash64(*keys), F.lit(BITMAP_WORDS * 64))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    bitmap = table.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    marked = rows.withColumn("word", F.shiftright(at, 6)).join(F.broadcast(bitmap), "word", "left")
+    bits = F.coalesce("bits", F.lit(0).cast("long"))
+    may = F.call_function("shiftright", bits, (at % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+    marked = marked.withColumn("may", may).drop("word", "bits")
+    return marked.filter("may").select(*rows.columns), marked.filter("NOT may").select(*rows.columns)
+
+
 def lookup(
-    rows: DataFrame, table: DataFrame, keys: list[str], weight: str, spread: Column, small: bool | None = None
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    weight: str,
+    spread: Column,
+    small: bool | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` to a stored table with one row per key and its number of rows.
 
@@ -46,10 +70,18 @@ def lookup(
     apart from rows of heavy keys, those with more than a ten-thousandth of all rows. There
     are fewer than ten thousand of them, so they are broadcast at any scale; their rows get
     a shuffle key of their own, a space and ``spread``, which no key of the table looks like.
+
+    ``sparse`` says that most rows have no match. Then ``rows`` should be a stored table: it
+    is read twice, and only rows that may have a match are shuffled.
     """
     if fits_broadcast(table) if small is None else small:
         return rows.join(F.broadcast(table.drop(weight)), keys, "left")
     values = [c for c in table.columns if c not in (*keys, weight)]
+    if sparse:
+        may, never = without_match(rows, table, keys)
+        found = lookup(may, table, keys, weight, spread, small=False)
+        types = dict(table.dtypes)
+        return found.unionByName(never.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in values]))
     *first, last = keys
     total = table.agg(F.sum(weight).alias("rows")).first()["rows"] or 0
     is_heavy = (F.col(weight) * HEAVY_SHARE > total) & (F.length(last) <= HEAVY_KEY_CHARS)

@@ -46,3 +46,22 @@ def test_size_check(spark, conf, tmp_path):
     assert not tables.fits_broadcast(table)
     conf("spark.sql.autoBroadcastJoinThreshold", "1MB")
     assert tables.fits_broadcast(table)
+
+
+@pytest.mark.parametrize("words", [1 << 18, 2])
+def test_only_rows_that_may_match_are_shuffled(spark, conf, monkeypatch, words):
+    monkeypatch.setattr(tables, "BITMAP_WORDS", words)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = spark.range(5000).select(F.lit("f").alias("file"), F.concat(F.lit("k"), F.col("id")).alias("key"), "id")
+    table = spark.range(0, 5000, 500).select(
+        F.lit("f").alias("file"), F.concat(F.lit("k"), F.col("id")).alias("key"), (F.col("id") * 2).alias("value"), F.lit(1).alias("n")
+    )
+    may, never = tables.without_match(rows, table, ["file", "key"])
+    assert may.count() + never.count() == 5000
+    assert never.join(table, ["file", "key"]).isEmpty()
+    if words > 2:
+        assert may.count() < 20
+    found = tables.lookup(rows, table, ["file", "key"], "n", F.col("id"), sparse=True)
+    assert found.columns == ["file", "key", "id", "value"]
+    got = {r.id: r.value for r in found.collect()}
+    assert got == {i: 2 * i if i % 500 == 0 else None for i in range(5000)}
