@@ -7,9 +7,10 @@ table with probability 0.0003, of 0.85 with 0.00001.
 
 Documents with equal shingle sets are one class, found by a grouping; only classes take part
 in what follows. Classes with one key in a table are candidates if two bits of enough of their
-minhashes agree. They are compared with the first of them, and then the classes that this
-leaves in different components with each other, so that a large group of near copies costs one
-comparison a member. Links are confirmed on full shingle sets.
+minhashes agree. Families of classes that candidates connect are then linked by exact counts on
+full shingle sets: a class outside the largest component of its family is compared with all
+others at once, so that a large group of near copies costs a few comparisons and gives
+one link a member.
 
 Defined results: a null or empty text has an empty set and is linked with nothing. A document
 without an id is never linked: its component_id is null and it is kept. Rows that share an id
@@ -19,9 +20,11 @@ are compared each with its own text. An empty table gives no rows. Other columns
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from remitspark.llm.common import arrow_schema, stored
@@ -38,9 +41,8 @@ FLIPS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) + BASE)
 #: the pairs of similarity 0.8 that share a key.
 ALIKE = 35
 RUN_ROWS = 100_000
-#: Pairs across components are compared outright if there are at most so many a class.
-FEW_PAIRS = 16
-TURNS = 3
+#: Bytes of sets in a block; a task holds two blocks.
+BLOCK_BYTES = 16 << 20
 
 
 def _row_shingles(batch: pa.RecordBatch, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,30 +136,39 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select("node", "minhashes").mapInArrow(emit, ", ".join(f"{name} long" for name in names))
 
 
-def _led(run: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (leader, member) of rows with minhashes alike, within runs of rows; and which rows lead.
+def _led(run: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Within runs of rows, pairs of rows that connect those with minhashes alike; and which rows lead.
 
     The first row of a run leads, then the first that is unlike all leaders before, and so on.
-    Every leader is compared with all rows of its run.
+    Every leader is compared with all rows of its run, and paired with one row of each set of
+    rows that it connects: a run has fewer pairs than rows.
     """
-    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1])[: len(run)])
-    size = np.diff(np.append(begin, len(run)))
-    free, leads = np.ones(len(run), dtype=bool), np.zeros(len(run), dtype=bool)
+    n = len(run)
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1])[:n])
+    size = np.diff(np.append(begin, n))
+    free, leads, label = np.ones(n, dtype=bool), np.zeros(n, dtype=bool), np.arange(n)
     pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     while len(begin):
         ends = np.cumsum(size)
         rows = np.repeat(begin - (ends - size), size) + np.arange(ends[-1])
         of = np.repeat(np.arange(len(begin)), size)
         waiting = np.flatnonzero(free[rows])
-        has, first = np.unique(of[waiting], return_index=True)
-        leader = np.full(len(begin), -1)
-        leader[has] = rows[waiting[first]]
+        _, first = np.unique(of[waiting], return_index=True)  # every run here has a free row
+        leader = rows[waiting[first]]
         led = leader[of]
-        alike = (led >= 0) & (agreeing((low[rows], high[rows]), (low[led], high[led])) >= ALIKE)
+        alike = agreeing((low[rows], high[rows]), (low[led], high[led])) >= ALIKE
         free[rows[alike]] = False
-        leads[leader[has]] = True
-        other = alike & (rows != led)
-        pairs.append((led[other], rows[other]))
+        leads[leader] = True
+        # A set of connected rows is known by its smallest row.
+        sets, at = np.unique(label[rows[alike]], return_index=True)
+        runs = of[alike][at]
+        other = sets != label[leader][runs]
+        pairs.append((leader[runs][other], sets[other]))
+        smallest = np.full(len(begin), n)
+        np.minimum.at(smallest, runs, sets)
+        renamed = np.arange(n)
+        renamed[sets] = smallest[runs]
+        label[rows] = renamed[label[rows]]
         left = np.add.reduceat(free[rows].astype(np.int64), ends - size) > 0
         begin, size = begin[left], size[left]
     leaders, members = (np.concatenate(x) for x in zip(*pairs, strict=True))
@@ -165,29 +176,27 @@ def _led(run: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray) -
 
 
 def _collisions(keys: DataFrame) -> DataFrame:
-    """Rows (key, first, node): classes that share a key and most minhashes.
+    """Rows (a, b) that connect the classes that share a key and most minhashes.
 
-    A run longer than ``RUN_ROWS`` is worked on in parts. Its leaders go from part to part, and
-    each of them is a row of its own, so that it is compared with all of the run later.
+    A run longer than ``RUN_ROWS`` is worked on in parts. Its leaders go from part to part and
+    are all connected, so that none of its rows is in a family without the others.
     """
-    names = ("key", "first", "node")
+    names = ("a", "b")
     arrow = pa.schema([(name, pa.int64()) for name in names])
     columns = ("key", "node", "low_bits", "high_bits")
 
     def collide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
+        held, is_long = [np.zeros(0, np.int64)] * 4, False
 
-        def found(parts: list[np.ndarray], leads_too: bool) -> tuple[pa.RecordBatch, np.ndarray]:
+        def found(parts: list[np.ndarray], first_is_long: bool) -> tuple[pa.RecordBatch, np.ndarray]:
             key, node, low, high = parts
             new = np.append(True, key[1:] != key[:-1])
-            shared = ~new | np.append(key[1:] == key[:-1], False)
-            rows = np.flatnonzero(shared)
-            run = np.cumsum(new)[rows]
-            leader, member, leads = _led(run, node[rows], low[rows].view(np.uint64), high[rows].view(np.uint64))
-            first, second = rows[leader], rows[member]
-            if leads_too:
-                first, second = np.append(first, rows[leads]), np.append(second, rows[leads])
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[first], node[first], node[second])], schema=arrow), rows[leads]
+            rows = np.flatnonzero(~new | np.append(key[1:] == key[:-1], False))
+            leader, member, leads = _led(np.cumsum(new)[rows], low[rows].view(np.uint64), high[rows].view(np.uint64))
+            if first_is_long:
+                chain = leads[key[rows[leads]] == key[0]]
+                leader, member = np.append(leader, chain[:-1]), np.append(member, chain[1:])
+            return pa.RecordBatch.from_arrays([pa.array(node[rows[leader]]), pa.array(node[rows[member]])], schema=arrow), rows[leads]
 
         for batch in batches:
             if batch.num_rows == 0:
@@ -195,14 +204,15 @@ def _collisions(keys: DataFrame) -> DataFrame:
             parts = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, columns, strict=True)]
             last = int(np.searchsorted(parts[0], parts[0][-1], "left"))  # keys are in order
             if last:
-                yield found([x[:last] for x in parts], False)[0]
+                yield found([x[:last] for x in parts], is_long)[0]
+                is_long = False
             held = [x[last:] for x in parts]
             if len(held[0]) > RUN_ROWS:
                 out, leads = found(held, True)
                 yield out
-                held = [x[leads] for x in held]
+                held, is_long = [x[leads] for x in held], True
         if len(held[0]):
-            yield found(held, False)[0]
+            yield found(held, is_long)[0]
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "node")
     return ordered.mapInArrow(collide, ", ".join(f"{name} long" for name in names))
@@ -221,65 +231,89 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, wanted: DataF
             yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), lists], schema=arrow)
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted.select(F.col("min_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # The ids wanted grow with the documents: always a shuffle, not a broadcast at small sizes.
+    texts = texts.join(wanted.select(F.col("min_id").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     found = texts.select("text").mapInArrow(collect, "high long, low long, members array<long>")
     found = found.join(wanted.select("node", "high", "low"), ["high", "low"])
     return found.groupBy("node").agg(F.first("members").alias("members"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    one = sets.select(F.col("node").alias("a"), F.col("members").alias("members_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("members").alias("members_b"))
-    shared = F.size(F.array_intersect("members_a", "members_b"))
-    united = F.size("members_a") + F.size("members_b") - F.col("shared")
-    joined = pairs.join(two, "b").join(one, "a")
-    small, large = F.least(F.size("members_a"), F.size("members_b")), F.greatest(F.size("members_a"), F.size("members_b"))
-    close = joined.filter(100 * small >= similarity * large).withColumn("shared", shared)
-    return close.filter(100 * F.col("shared") >= similarity * united).select("a", "b")
+def linked(sizes: np.ndarray, members: np.ndarray, similarity: int) -> list[tuple[int, int]]:
+    """Links that connect all sets of a group that are connected by similar pairs, by exact counts.
 
-
-def _rooted(collisions: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (key, node, root) of the keys whose classes are in several components."""
-    members = collisions.select("key", "node").union(collisions.select("key", F.col("first").alias("node"))).distinct()
-    rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    return stored(rooted.join(several.select("key"), "key", "left_semi"), "rooted")
-
-
-def _connected(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Components (node, root) of all confirmed links between classes with a common key.
-
-    The pairs of leaders and members come first. Where these leave a key with several
-    components, its classes are compared across components. If that would be many pairs, every
-    component of the key is compared with one class drawn from the key first, for some turns.
+    ``members`` holds the sets one after another. A set is compared with all others at once,
+    through the sets that hold each of its members. Sets of the largest component found so far
+    need not be: a link out of it is found from its other end.
     """
-    tried = stored(collisions.filter("first != node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = stored(_confirmed(tried, sets, similarity), "confirmed")
-    roots = components(links)
-    turn = 0
+    n = len(sizes)
+    ends = np.cumsum(sizes)
+    _, ids = np.unique(members, return_inverse=True)
+    holder = np.repeat(np.arange(n), sizes)[np.argsort(ids, kind="stable")]
+    held = np.bincount(ids)
+    first = np.cumsum(held) - held
+    label, done, links = np.arange(n), np.zeros(n, dtype=bool), []
     while True:
-        rooted = _rooted(collisions, roots)
-        by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
-        by_key = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        sizes = by_key.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("n")).first()
-        last = (sizes["pairs"] or 0) <= FEW_PAIRS * (sizes["n"] or 0) or turn == TURNS
-        if last:
-            other = rooted.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = rooted.withColumnRenamed("node", "a").join(other, "key").filter("root < root_b")
-        else:
-            order = F.xxhash64("key", "node", F.lit(turn))
-            hub = rooted.groupBy("key").agg(F.min_by(F.struct("node", "root"), order).alias("hub"))
-            pairs = rooted.join(hub, "key").filter("root != hub.root").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = stored(_confirmed(pairs, sets, similarity), "confirmed")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = components(links)
-        if last:
-            return roots
-        tried, turn = tried.union(pairs), turn + 1
+        counts = np.bincount(label, minlength=n)
+        open_ = np.flatnonzero(~done & (label != np.argmax(counts)) if n > 1 else [])
+        if not len(open_):
+            return links
+        for i in open_[: 1 if not done.any() else 32].tolist():
+            mine = ids[ends[i] - sizes[i] : ends[i]]
+            lengths = held[mine]
+            stops = np.cumsum(lengths)
+            shared = np.bincount(holder[np.repeat(first[mine] - (stops - lengths), lengths) + np.arange(stops[-1])], minlength=n)
+            near = np.flatnonzero(100 * shared >= similarity * (sizes[i] + sizes - shared))
+            done[i] = True
+            labels, at = np.unique(label[near], return_index=True)
+            if len(labels) > 1:
+                links += [(i, j) for j in near[at].tolist() if label[j] != label[i]]
+                label[np.isin(label, labels)] = labels[0]
+
+
+def _links(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Confirmed links (a, b) that connect classes in the families that shared keys make of them.
+
+    A family that is too large for a task is cut into blocks, and every pair of blocks is a task.
+    """
+    families = components(collisions).select("node", F.col("root").alias("family"))
+    held = stored(families.join(sets, "node"), "families")
+    blocks = F.ceil(F.sum(F.size("members") * 8 + 64) / BLOCK_BYTES).cast("int").alias("blocks")
+    counted = held.join(held.groupBy("family").agg(blocks), "family")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != mine) | (F.col("blocks") == 1))
+    spread = counted.withColumn("mine", mine).withColumn("other", F.explode(others))
+    task = F.xxhash64("family", F.least("mine", "other"), F.greatest("mine", "other"))
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "task"):
+            column = table.column("members").combine_chunks()
+            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+            sizes = pa.compute.list_value_length(column).to_numpy().astype(np.int64)
+            found = np.array(linked(sizes, column.flatten().to_numpy(), similarity), dtype=np.int64).reshape(-1, 2)
+            node = table.column("node").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], schema=arrow)
+
+    rows = spread.select(task.alias("task"), "node", "members").repartition("task").sortWithinPartitions("task")
+    return stored(rows.mapInArrow(compare, "a long, b long"), "confirmed")
+
+
+def _groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Rows with one value of a sorted column at a time."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table = pa.Table.from_batches([batch])
+        values = table.column(key).to_numpy()
+        bounds = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for begin, end in pairwise(bounds):
+            if held and held[-1].column(key)[0].as_py() != values[begin]:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(begin, end - begin))
+    if held:
+        yield pa.concat_tables(held)
 
 
 def near_duplicates(
@@ -292,10 +326,10 @@ def near_duplicates(
     # Written with the classes, the numbers are the same for every later reader.
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     collisions = stored(_collisions(_keys(classes)), "collisions")
-    in_pairs = collisions.select("node").union(collisions.select("first")).distinct()
+    in_pairs = collisions.select(F.col("a").alias("node")).union(collisions.select("b")).distinct()
     wanted = classes.drop("minhashes").join(in_pairs, "node", "left_semi")
     sets = stored(_sets(docs, id_col, text_col, words, stored(wanted, "wanted")), "sets")
-    roots = _connected(collisions, sets, similarity)
+    roots = components(_links(collisions, sets, similarity))
 
     rooted = classes.drop("minhashes").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))

@@ -59,11 +59,11 @@ def test_odd_rows(spark, odd_docs, words):
     assert got(M.near_duplicates(odd_docs, words=words)) == want
 
 
-@pytest.mark.parametrize("run_rows, few", [(100_000, 16), (5, 0)])
-def test_chains_and_groups_of_near_copies(spark, monkeypatch, run_rows, few):
-    """Copies of copies, of which the ends are unlike; long runs in parts; drawn hubs."""
+@pytest.mark.parametrize("run_rows, block", [(100_000, 16 << 20), (5, 20_000)])
+def test_chains_and_groups_of_near_copies(spark, monkeypatch, run_rows, block):
+    """Copies of copies, of which the ends are unlike; long runs in parts; families in blocks."""
     monkeypatch.setattr(M, "RUN_ROWS", run_rows)
-    monkeypatch.setattr(M, "FEW_PAIRS", few)
+    monkeypatch.setattr(M, "BLOCK_BYTES", block)
     rnd = random.Random(11)
     rows = []
     for group in range(6):
