@@ -9,6 +9,9 @@ from remitspark.functions.text import clean
 
 NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\z"
 
+# Exponents that no decimal number may have: over 18 digits, or below -2 * 10**18.
+NO_EXPONENT = r"[eE](?:\+?0*[1-9][0-9]{18,}|-0*(?:[2-9][0-9]{18}|[1-9][0-9]{19,}))\z"
+
 # Text with more digits than the decimal holds may round onto a limit from the wrong side:
 # onto 0.01 if its first digit is a 9, onto 10000000 if a digit follows its leading 1.
 ROUNDS_UP_TO_MIN = r"^\+?[0.]*9"
@@ -43,7 +46,7 @@ def amount_fault(text: Column, literal: Column, parsed: Column) -> Column:
     above = (parsed > high) | ((parsed == high) & literal.rlike(ROUNDS_DOWN_TO_MAX))
     return (
         F.when(text == "", S.EMPTY_AMOUNT)
-        .when(parsed.isNull() & ~literal.rlike(NUMBER), S.INVALID_AMOUNT)
+        .when(parsed.isNull() & (~literal.rlike(NUMBER) | literal.rlike(NO_EXPONENT)), S.INVALID_AMOUNT)
         .when(parsed.isNull() | below | above, S.AMOUNT_OUT_OF_RANGE)
     )
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -94,7 +95,8 @@ VALID = ["12.5", " 12.5 ", "+5", ".5", "5.", "1e5", "1E-2", "1_000", "_1__0_", "
 AMOUNTS = {
     None: VALID,
     S.EMPTY_AMOUNT: [None, "", "   ", "\t "],
-    S.INVALID_AMOUNT: ["1,000", "$5", "0x10", "--1", "5d", "5f", "abc", "NaN", "sNaN", "_", "1 0", ".", "e5", "1e"],
+    S.INVALID_AMOUNT: ["1,000", "$5", "0x10", "--1", "5d", "5f", "abc", "NaN", "sNaN", "_", "1 0", ".", "e5", "1e",
+        "1e1000000000000000000", "0E+01000000000000000000", "1e-2000000000000000000", "0e-90000000000000000000"],
     S.AMOUNT_OUT_OF_RANGE: [
         "0",
         "-1",
@@ -108,6 +110,9 @@ AMOUNTS = {
         "1e-400",
         "1e-999999999",
         "1e999999999",
+        "1e999999999999999999",
+        "1e-1999999999999999997",
+        "1e-1000000000000000000",
         "0e0000009999999",
         "Infinity",
         "-Infinity",
@@ -132,7 +137,8 @@ def test_amount_table(spark):
 
 def test_amounts_equal_decimal(spark):
     seeds = [t for texts in AMOUNTS.values() for t in texts if t] + ["9999999.995", "1e7", "10000000"]
-    texts = [t for t in mutated(seeds, "0123456789.-+eE_ dinfa", 6000, 11) if "e" not in t.lower() or len(t) < 14]
+    # Python's limit for exponents moves with the digits in front, by as much as a text is long.
+    texts = [t for t in mutated(seeds, "0123456789.-+eE_ dinfa", 6000, 11) if not re.search("[eE][+-]?0*[1-9][0-9_]{17,18}$", t.strip())]
     got = amounts(spark, texts)
     want = [rowwise.amount_of(t) for t in texts]
     wrong = [
