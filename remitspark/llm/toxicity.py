@@ -24,20 +24,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from remitspark.llm.common import arrow_schema, stored
 from remitspark.llm.textarrays import BASE, NO_LETTER, Hasher, char_positions, mix, slices, text_bytes, word_bounds
 
 #: Labelled documents of each kind that the model is fitted on, at most.
-LABELLED = 6_000
+LABELLED = 2_000
 PREFIXES = (4, 5, 6)
 #: How much more often a marking feature stands in toxic documents, and the evidence it takes in nats.
 RATIO = 20.0
 EVIDENCE = 12.0
 #: Chains for fitting are cut to this many tokens.
 CHAIN = 64
-STEPS, RATE, DECAY = 150, 0.3, 1e-3
+STEPS, RATE, DECAY = 60, 0.4, 1e-3
 SPAN = 0.5
 THRESHOLD = 0.3
 
@@ -110,46 +111,52 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit_field(keys: np.ndarray, chains: list[tuple[int, np.ndarray, np.ndarray, bool]]) -> Field:
-    """Fits the weights by gradient ascent (Adam) on chains (length, places and numbers of marking features, toxic).
+@dataclass
+class Chains:
+    """Chains to learn from: their lengths and kinds, and where marking features (by number) stand in them."""
+
+    size: np.ndarray
+    toxic: np.ndarray
+    chain: np.ndarray
+    place: np.ndarray
+    number: np.ndarray
+
+
+def fit_field(keys: np.ndarray, chains: Chains) -> Field:
+    """Fits the weights by gradient ascent (Adam) on labelled chains.
 
     The tokens with marking features are labelled 1 in toxic documents, all others 0.
     """
-    field_ = Field(keys, np.zeros(len(keys)), -3.0)
-    size = np.array([c[0] for c in chains])
-    chain = np.concatenate([np.full(len(c[1]), i) for i, c in enumerate(chains)])
-    place, number = (np.concatenate([c[k] for c in chains]) for k in (1, 2))
-    toxic = np.array([c[3] for c in chains])
-    width = int(size.max())
+    size, chain, place, number = chains.size, chains.chain, chains.place, chains.number
+    n, width = len(keys), int(size.max())
     inside = np.arange(width) < size[:, None]
-    label = np.zeros((len(chains), width))
-    label[chain[toxic[chain]], place[toxic[chain]]] = 1
+    label = np.zeros((len(size), width), dtype=bool)
+    marked = chains.toxic[chain]
+    label[chain[marked], place[marked]] = True
+    first, second, both = label[:, :-1], label[:, 1:], inside[:, 1:]
+    moved = np.array([(x & both).sum() for x in (~first & second, first & ~second, first & second)], dtype=float)
     total = inside.sum()
-    values = np.zeros(len(keys) + 4)  # the features, every token, moves 01, 10, 11
-    values[len(keys)] = field_.every
+    values = np.zeros(n + 4)  # the features, every token, moves 01, 10, 11
+    values[n] = -3.0
     mean, square = np.zeros_like(values), np.zeros_like(values)
-    both = inside[:, 1:]
     for step in range(1, STEPS + 1):
         moves = np.array([[0, values[-3]], [values[-2], values[-1]]])
-        emission = np.where(inside, values[len(keys)], 0.0)
+        emission = np.where(inside, values[n], 0.0)
         np.add.at(emission, (chain, place), values[number])
         forward, backward = messages(emission, size, moves)
         wrong = (label - _sigmoid(forward + backward)) * inside
         slope = np.zeros_like(values)
-        slope[: len(keys)] = np.bincount(number, weights=wrong[chain, place], minlength=len(keys))
-        slope[len(keys)] = wrong.sum()
+        slope[:n] = np.bincount(number, weights=wrong[chain, place], minlength=n)
+        slope[n] = wrong.sum()
         left = np.exp(np.clip(forward[:, :-1], -50, 50))
         right = np.exp(np.clip(emission[:, 1:] + backward[:, 1:], -50, 50))
-        weight = np.stack([np.ones_like(left), right * np.exp(moves[0, 1]), left * np.exp(moves[1, 0]), left * right * np.exp(moves[1, 1])])
-        weight /= weight.sum(axis=0)
-        seen = np.stack([(label[:, :-1] == i) & (label[:, 1:] == j) for i in (0, 1) for j in (0, 1)])
-        slope[-3:] = ((seen - weight) * both).sum(axis=(1, 2))[1:]
+        weight = [right * np.exp(moves[0, 1]), left * np.exp(moves[1, 0]), left * right * np.exp(moves[1, 1])]
+        whole = 1 + weight[0] + weight[1] + weight[2]
+        slope[-3:] = moved - [(w / whole * both).sum() for w in weight]
         slope = slope / total * 1000 - DECAY * values
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
         values += RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    field_.weights, field_.every = values[: len(keys)], float(values[len(keys)])
-    field_.moves = np.array([[0, values[-3]], [values[-2], values[-1]]])
-    return field_
+    return Field(keys, values[:n], float(values[n]), np.array([[0, values[-3]], [values[-2], values[-1]]]))
 
 
 def marginals(tokens: Tokens, model: Field) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -262,34 +269,36 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Field |
         return None
 
     def chains(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (length, places, numbers, toxic): lines with marking features, and the first line of other documents."""
+        """Rows (size, toxic, places, numbers): lines with marking features, and the first lines of other documents."""
         for batch in slices(batches, "text"):
             tokens = Tokens(batch)
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
             begin = np.flatnonzero(np.append(True, tokens.line[1:] != tokens.line[:-1]))[: len(tokens.line)]
-            size = np.diff(np.append(begin, len(tokens.line)))
             _, marked = Field(keys, np.zeros(len(keys))).emissions(tokens.features)
             rows = []
-            for first, n in zip(begin.tolist(), size.tolist(), strict=True):
+            for first, after in zip(begin.tolist(), [*begin[1:].tolist(), len(marked)], strict=True):
                 row = tokens.row[first]
-                hits = marked[first : first + n].any()
-                if not hits and (toxic[row] or (first and tokens.row[first - 1] == row)):
+                plain = not marked[first:after].any()
+                if plain and (toxic[row] or (first and tokens.row[first - 1] == row)):
                     continue
-                for at in range(first, first + n, CHAIN):
-                    end = min(at + CHAIN, first + n)
-                    places, numbers = [], []
+                for at in range(first, after, CHAIN):
+                    end = min(at + CHAIN, after)
+                    pairs = set()
                     for values in tokens.features:
                         found = np.minimum(np.searchsorted(keys, values[at:end]), len(keys) - 1)
                         hit = np.flatnonzero(keys[found] == values[at:end])
-                        places += hit.tolist()
-                        numbers += found[hit].tolist()
-                    pairs = sorted({*zip(places, numbers, strict=True)})
-                    rows.append({"n": end - at, "places": [p for p, _ in pairs], "numbers": [k for _, k in pairs], "toxic": bool(toxic[row])})
+                        pairs |= {*zip(hit.tolist(), found[hit].tolist(), strict=True)}
+                    places, numbers = ([p[k] for p in sorted(pairs)] for k in (0, 1))
+                    rows.append({"size": end - at, "toxic": bool(toxic[row]), "places": places, "numbers": numbers})
             yield pa.RecordBatch.from_pylist(rows, schema=chain_schema)
 
-    chain_schema = pa.schema([("n", pa.int64()), ("places", pa.list_(pa.int64())), ("numbers", pa.list_(pa.int64())), ("toxic", pa.bool_())])
-    found = sample.mapInArrow(chains, "n long, places array<long>, numbers array<long>, toxic boolean").toArrow().to_pylist()
-    model = fit_field(keys, [(c["n"], np.array(c["places"], np.int64), np.array(c["numbers"], np.int64), c["toxic"]) for c in found])
+    lists = pa.list_(pa.int64())
+    chain_schema = pa.schema([("size", pa.int64()), ("toxic", pa.bool_()), ("places", lists), ("numbers", lists)])
+    found = sample.mapInArrow(chains, "size long, toxic boolean, places array<long>, numbers array<long>").toArrow().combine_chunks()
+    counts = pa.compute.list_value_length(found.column("places")).to_numpy()
+    place, number = (pa.compute.list_flatten(found.column(c)).to_numpy() for c in ("places", "numbers"))
+    size, toxic = found.column("size").to_numpy(), found.column("toxic").to_numpy()
+    model = fit_field(keys, Chains(size, toxic.astype(bool), np.repeat(np.arange(len(size)), counts), place, number))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
