@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from remitspark.session import new_work_folder
+from remitspark.session import scratch_folder
 from remitspark.tables import store
 
 
@@ -26,15 +26,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.R
             yield batch.slice(begin, rows)
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A new folder in the shared work folder, deleted when the session's process ends."""
-    folder = new_work_folder(spark, label)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared work folder and read back: they are computed once and
     are still there when an executor is lost."""
-    return store(df, work_folder(df.sparkSession, label))
+    return store(df, scratch_folder(df.sparkSession, label))

@@ -18,6 +18,7 @@ gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -68,12 +69,11 @@ def ranked(sources: DataFrame) -> DataFrame:
     ranged = sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
     ranged = stored(ranged, "sources")
     counts = sorted((r["part"], r["count"]) for r in ranged.groupBy("part").count().collect())
-    before, total = F.lit(0), 0
-    for part, count in counts:
-        before = F.when(F.col("part") == part, F.lit(total)).otherwise(before)
-        total += count
+    before = list(accumulate((count for _, count in counts), initial=0))
+    starts = [(part, start) for (part, _), start in zip(counts, before, strict=False)]
+    started = ranged.join(F.broadcast(sources.sparkSession.createDataFrame(starts, "part int, before long")), "part")
     place = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
-    return ranged.withColumn("place", place - 1 + before).drop("part")
+    return started.withColumn("place", place - 1 + F.col("before")).drop("part", "before")
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:

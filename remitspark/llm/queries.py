@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
-from remitspark.llm.common import table, work_folder
+from remitspark.llm.common import table
+from remitspark.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +36,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    folder = work_folder(spark, "archives")
+    folder = scratch_folder(spark, "archives")
     warc_zip.write_archives(warc_zip.roles(pages, "page_id", "html", "url"), folder)
     kind = pages.schema["page_id"].dataType
     return warc_zip.read_archives(spark, folder).select(
