@@ -245,6 +245,8 @@ _DIRTY = {
     "partition_dates": "SELECT source_file, CAST(first_ts AS DATE) AS partition_date FROM per_file "
     "WHERE first_ts IS NOT NULL",
     "csv_round_trip": f"SELECT source_file, {COLUMNS} FROM valid",
+    "loaded_high_value": _ANALYTICS["high_value"].replace("FROM transactions", "FROM valid"),
+    "loaded_failed_declined": _ANALYTICS["failed_declined"].replace("FROM transactions", "FROM valid"),
     "rejected_round_trip": "SELECT source_file, "
     + ", ".join(f"coalesce({c}, '') AS {c}" for c in COLUMNS.split(", "))
     + ", rejection_reason FROM annotated WHERE rejection_reason IS NOT NULL",

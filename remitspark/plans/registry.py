@@ -95,10 +95,19 @@ def _loaded(spark: SparkSession, outs: Callable[[Callable[[str], None]], None])
         warehouse.drop_transactions(spark, table)
 
 
-def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files, ingest, load, then all rows of the loaded table."""
+def _round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files, ingest, load: the rows of the table."""
     out = _ingested(spark, sf_dir, lambda raw, out: ingest(spark, raw, out))
-    rows = _loaded(spark, lambda load: load(out))
+    return _loaded(spark, lambda load: load(out))
+
+
+def _over_loaded(name: str) -> Query:
+    return lambda spark, sf_dir: QUERIES[name](_round_trip(spark, sf_dir))
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the loaded table."""
+    rows = _round_trip(spark, sf_dir)
     return rows.select(sampledata.batch_name(F.col("source_file")).alias("source_file"), *S.REQUIRED_COLUMNS)
 
 
@@ -192,6 +201,8 @@ REGISTRY: dict[str, Query] = {
     "partition_dates": partition_dates,
     "route_notifications": notification_routes,
     "csv_round_trip": csv_round_trip,
+    "loaded_high_value": _over_loaded("high_value"),
+    "loaded_failed_declined": _over_loaded("failed_declined"),
     "rejected_round_trip": rejected_round_trip,
     "ingest_audit": ingest_audit,
     "reingest_corrected_files": reingest_corrected_files,

@@ -59,6 +59,12 @@ def test_query(spark, duck, name):
         assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("name, pushed", [("loaded_high_value", "GreaterThan(amount,100"), ("loaded_failed_declined", "In(status, [DECLINED,FAILED])")])
+def test_filters_reach_the_loaded_rows(spark, name, pushed):
+    plan = REGISTRY[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert pushed in plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+
+
 def test_entry(spark):
     assert driver.entry(spark).columns == ["status", "transaction_count"]
 
