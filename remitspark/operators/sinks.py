@@ -105,5 +105,10 @@ def read_rejected(spark, out_dir: str) -> DataFrame:
     return current(rows, read_audit(spark, out_dir)).select(S.REJECTED.fieldNames())
 
 
+def has_audit(spark, out_dir: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/audit")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_audit(spark, out_dir: str) -> DataFrame:
     return spark.read.schema(S.AUDIT).parquet(f"{out_dir}/audit")

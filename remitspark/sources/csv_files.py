@@ -122,6 +122,16 @@ def read_raw(
     return store(derive(rows), f"{folder}/rows"), files.select("source_file", "file_error")
 
 
+def unseen_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """``source_file, file_error`` of the admitted files that neither a scan nor a stream shows."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", True)
+    with_bytes = listed.load(raw_dir).select("path")  # contents are not read
+    empty = L.empty_files(spark, [raw_dir], with_bytes)
+    nothing = spark.createDataFrame([], "path string, line_count long, source_file string, positions array<int>, file_error string")
+    found = _with_unseen(nothing, empty, L.hidden_files(spark, raw_dir), qualified(spark, raw_dir))
+    return found.select("source_file", "file_error")
+
+
 def without_headers(rows: DataFrame, first_positions: DataFrame, weight: str) -> DataFrame:
     """Drops the first row of each file.
 

@@ -11,7 +11,7 @@ from remitspark import schema as S
 from remitspark import tables
 from remitspark.operators import sinks, warehouse
 from remitspark.plans.checks import CHECKS
-from remitspark.plans.ingest import ingest, ingest_and_load, ingest_notifications
+from remitspark.plans.ingest import audit_unseen, ingest, ingest_and_load, ingest_notifications
 from remitspark.session import new_work_folder
 from remitspark.sources.records import literal_path
 from remitspark.streaming.arrivals import ingest_stream
@@ -189,6 +189,18 @@ def test_every_admitted_file_has_an_audit_row(spark, tmp_path):
     assert [(r.source_file, r.file_error) for r in only_hidden.collect()] == [("_u.csv", S.HIDDEN_NAME)]
 
 
+def test_files_that_the_stream_does_not_see(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    put(tmp_path / "raw", {"a.csv": f"{HEADER}\n{ROW}\n".encode(), "empty.csv": b"", "d/_u.csv": b"x"})
+    assert {r.source_file for r in audit_unseen(spark, raw, out).collect()} == {"empty.csv", "d/_u.csv"}
+    ingest_stream(spark, raw, out, str(tmp_path / "checkpoint")).awaitTermination()
+    assert {r.source_file for r in sinks.read_audit(spark, out).collect()} == {"a.csv", "empty.csv", "d/_u.csv"}
+    assert audit_unseen(spark, raw, out).collect() == []
+    put(tmp_path / "raw", {"d/e.csv": b""})
+    assert [r.source_file for r in audit_unseen(spark, raw, out).collect()] == ["d/e.csv"]
+    assert sinks.read_processed(spark, out).count() == 1
+
+
 def test_longest_field_is_an_option(spark, tmp_path):
     put(tmp_path / "raw", {"a.csv": f"{HEADER}\n{line(region='r' * 50)}\n".encode(), "b.csv": (f"{HEADER}\n" + line(region='"' + 'r\n' * 30 + '"')).encode()})
     for limit, error in ((40, S.FIELD_TOO_LARGE), (80, None)):
