@@ -38,7 +38,7 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
