@@ -101,8 +101,9 @@ def test_chance_to_share_no_table():
     assert keys.shape == (2, 9 * 12)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed, task_links", [(0, 1 << 19), (1, 7), (2, 1)])
+def test_components(spark, monkeypatch, seed, task_links):
+    monkeypatch.setattr(C, "TASK_LINKS", task_links)
     rnd = random.Random(seed)
     links = [(i, i + 1) for i in range(0, 40)] + [(rnd.randint(100, 200), rnd.randint(100, 200)) for _ in range(60)] + [(300, 301), (301, 300), (5, 5)]
     root = {x: x for link in links for x in link}
