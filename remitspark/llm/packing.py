@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from remitspark.llm.common import arrow_schema, small_batches, stored
-from remitspark.llm.textarrays import Hasher, slices, text_bytes, word_bounds
+from remitspark.llm.textarrays import LOWER, Hasher, heads, slices, text_bytes, word_bounds
 
 WINDOW = 2048
-BLOCK_WINDOWS = 64
+BLOCK_WINDOWS = 48
 #: Every 12th rest is cut into parts of this many ids: small change that evens windows out.
 SMALL_PART = 32
 SMALL_EVERY = 12
@@ -46,7 +46,8 @@ TASK_IDS = 4 << 20
 
 class WordIds:
     """Ids of texts. The tokenizer never joins ids over white space, so a text's ids are those
-    of its words; a word's ids are kept in arrays, under two hashes of its bytes.
+    of its words; a word's ids are kept in arrays, under a hash of its bytes together with its
+    length and first bytes.
 
     A word of Latin letters, perhaps with ASCII marks after it, is two words to the tokenizer.
     Its stem in lower case needs the merges alone; other words go through the tokenizer whole.
@@ -127,7 +128,8 @@ class WordIds:
         start, end, row = word_bounds(data, offsets, self.BREAKS)
         # Special tokens, which have this mark, are case sensitive; nothing else is.
         lower = not (data == ord("<")).any()
-        one, two = Hasher(data, lower)(start, end), Hasher(data, lower, salt=1)(start, end)
+        shown = LOWER[data] if lower else data
+        one, two = Hasher(shown, lower=False)(start, end), heads(shown, start, end)
         number = self._find(one, two)
         first, pool = self.first, self.pool
         missing = np.flatnonzero(number < 0)

@@ -104,9 +104,9 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Hasher:
     """Hashes of any byte ranges of a batch, from one prefix sum over its bytes."""
 
-    def __init__(self, data: np.ndarray, lower: bool = True, salt: int = 0):
+    def __init__(self, data: np.ndarray, lower: bool = True):
         up, self.down = _power_tables(len(data))
-        values = (BYTE_VALUES if not salt else mix(BYTE_VALUES + np.uint64(salt)))[LOWER[data] if lower else data]
+        values = BYTE_VALUES[LOWER[data] if lower else data]
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(values * up[: len(data)], out=self.sums[1:], dtype=np.uint64)
 
@@ -116,6 +116,15 @@ class Hasher:
         return mix(spread + (end - start).astype(np.uint64))
 
 
+def heads(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first seven bytes of each range, and its length modulo 256, in one value."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    length = end - start
+    keep = np.array([(1 << 8 * k) - 1 for k in range(8)], dtype=np.uint64)[np.minimum(length, 7)]
+    return (words[start] & keep) | ((length & 255).astype(np.uint64) << np.uint64(56))
+
+
 def row_ranges(rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Where each of ``n`` rows begins and ends in a sorted array of row numbers."""
     return np.searchsorted(rows, np.arange(n), "left"), np.searchsorted(rows, np.arange(n), "right")
