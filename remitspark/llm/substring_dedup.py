@@ -4,7 +4,8 @@ The unit is a line; a long line is cut into parts at places that its own words d
 that a passage copied into the middle of another line gives the same units there. Units are
 compared without regard to ASCII case and white space. Of equal units the first by document id
 and place stays, all others are removed; where they stood is returned as offsets in the original
-text. Units of fewer than ``MIN_WORDS`` words stay: they repeat by chance.
+text. Whole lines count whatever their length, a text without white space as a line of one word;
+a part cut out of a longer line has five words at least.
 
 Repeats within a document are found in the task that reads it, so only one row per document and
 unit is shuffled, and equal units are counted before the shuffle.
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from remitspark.llm.common import arrow_schema, stored
 from remitspark.llm.textarrays import Passages, char_positions, slices, text_bytes
 
-MIN_WORDS = 6
+#: Words in the smallest unit: every line that is not blank.
+MIN_WORDS = 1
 REACH = 5
 LAST_RANK = (1 << 63) - 1
 UNITS = "rank long, text_key long, high long, low long, start int, stop int, again boolean"

@@ -89,5 +89,23 @@ def test_passages_inside_other_lines(spark):
     assert sum(removed) > 0.5 * sum(map(len, passages))
 
 
+def test_lines_of_any_length(spark):
+    """Held against plain lines: of equal ones the first stays, also of one word or without a space."""
+    lines = ["}", "All rights reserved.", "ALL  rights\treserved.", "Released under the MIT License.", "five words are a line", "漢字かな" * 250]
+    lines += ["ข้อความไทย" * 100, "https://example.org/" + "a1b2c3" * 60, "QUJDRA" * 300, "six words are a line too"]
+    rnd = random.Random(5)
+    rows = [(i, "\n".join(rnd.choices([*lines, "", f"own{i}", f"own line {i}"], k=8)), "en", "s", 1) for i in range(60)]
+    key = lambda line: tuple(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
+    seen, want = set(), {}
+    for doc_id, text, *_ in rows:
+        left = []
+        for line in text.split("\n"):
+            left.append("" if key(line) in seen else line)
+            seen.update([key(line)] if key(line) else [])
+        want[doc_id] = "\n".join(left)
+    found = D.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert {r.row.doc_id: r.clean_text for r in found} == want
+
+
 def test_no_documents(spark, no_docs):
     assert D.remove_repeats(no_docs).collect() == []
