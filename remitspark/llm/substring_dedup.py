@@ -5,7 +5,8 @@ that a passage copied into the middle of another line gives the same units there
 compared without regard to ASCII case and white space. Of equal units the first by document id
 and place stays, all others are removed; where they stood is returned as offsets in the original
 text. Whole lines count whatever their length, a text without white space as a line of one word;
-a part cut out of a longer line has five words at least.
+a part cut out of a longer line has five words at least. Equal lines have equal cuts, so a line
+that repeats as a whole goes with all of its parts.
 
 Repeats within a document are found in the task that reads it, so only one row per document and
 unit is shuffled, and equal units are counted before the shuffle.

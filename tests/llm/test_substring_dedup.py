@@ -107,5 +107,18 @@ def test_lines_of_any_length(spark):
     assert {r.row.doc_id: r.clean_text for r in found} == want
 
 
+def test_equal_long_lines_go_whole(spark):
+    rnd = random.Random(6)
+    lines = [" ".join(f"v{rnd.randint(0, 10**6)}" for _ in range(60)) for _ in range(200)]
+    # Some cut stands right after the fifth word.
+    assert any(len(unit.split()) == 5 for line in lines for _, _, unit in units(line))
+    rows = [(i, f"own {i}\n{line}", "en", "s", 1) for i, line in enumerate(lines)]
+    rows += [(1000 + i, f"{line}\nother {i}", "en", "s", 1) for i, line in enumerate(lines)]
+    rows += [(2000 + i, text.upper(), "en", "s", 1) for i, text, *_ in rows[:200]]  # copies of documents
+    found = {r.row.doc_id: r.clean_text for r in D.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert all(found[i] == rows[i][1] for i in range(200))
+    assert all(found[1000 + i] == f"\nother {i}" and found[2000 + i] == "\n" for i in range(200))
+
+
 def test_no_documents(spark, no_docs):
     assert D.remove_repeats(no_docs).collect() == []
