@@ -6,13 +6,15 @@ of documents:
 
 1. quality classifier: documents rejected by the resampling go;
 2. line dedup: boilerplate lines go from the texts, n_chars is counted anew;
-3. MinHash near-dedup: one document of each group of near copies stays, the one with the smallest id;
+3. MinHash near-dedup: one document of each group of near copies stays, the one with the smallest id,
+   or of those without an id if the group has no other;
 4. mixing: a document comes as many times as the mix takes it; what is left of a source's words is
    the beginning of one document;
 5. packing: pieces of all documents in sequences.
 
-Null ids and texts pass; an empty table gives no rows. A document without an id is compared for
-equal texts only. Columns with any other names are passed on up to the last stage.
+Null ids and texts pass; an empty table gives no rows. Rows that share an id and have different
+texts are documents of their own in near-dedup. Columns with any other names are passed on up to
+the last stage.
 """
 
 from __future__ import annotations
@@ -49,12 +51,15 @@ def _id_text() -> Column:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash_dedup.near_duplicates(docs, words=SHINGLE_WORDS, similarity=SIMILARITY)
-    kept = found.filter("kept").select(_id_text()).distinct()
+    # Id and text are the key of a row: rows that share an id, and those without one, are documents of
+    # their own. Keys without an id come last, so a group with an id keeps the smallest id.
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_key"))
+    found = minhash_dedup.near_duplicates(docs.select(key.alias("key"), "text"), "key", words=SHINGLE_WORDS, similarity=SIMILARITY)
+    kept = found.filter("kept").select("doc_id.*").select(_id_text(), "text_key").distinct()
     rows = docs.select(F.struct("*").alias("row"), _id_text(), F.xxhash64("text").alias("text_key"))
     # Rows of one id and text are copies as well.
     first = F.row_number().over(Window.partitionBy("id_text", "text_key").orderBy(F.lit(0)))
-    return rows.join(kept, "id_text", "left_semi").withColumn("place", first).filter("place = 1").select("row.*")
+    return rows.join(kept, ["id_text", "text_key"], "left_semi").withColumn("place", first).filter("place = 1").select("row.*")
 
 
 @F.pandas_udf(T.StringType())

@@ -57,3 +57,19 @@ def test_repeated_rows_are_copies(spark):
     assert sorted(got, key=str) == [(1, "a b c d e f g"), (None, "a b")]
     mixed = P.mixing_stage(spark, docs, SF).collect()
     assert sum(len(P.WORDS.findall(r.text)) for r in mixed) == 48  # 150 % of 32 words
+
+
+def test_one_row_of_each_group_of_near_copies(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    a, b, c, d, e = map(text, "abcde")
+    rows = [
+        (1, a), (5, f"{a} more"), (5, b),  # id 5 stays for b alone
+        (2, c), (None, c), (None, f"{c} more"),  # copies without an id
+        (None, d), (None, f"{d} more"),  # a group without any id
+        (7, e), (7, f"{e} more"), (7, f"{e} more"),  # near copies of one id
+        (8, None), (8, None), (None, None), (9, ""), (10, ""),  # without words
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = [(r.doc_id, r.text and r.text.removesuffix(" more")) for r in P.near_copy_stage(spark, docs, SF).collect()]
+    want = [(1, a), (5, b), (2, c), (None, d), (7, e), (8, None), (None, None), (9, ""), (10, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
