@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import embedding_dedup, fingerprints, line_dedup, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
+from remitspark.llm import embedding_dedup, fingerprints, line_dedup, merkle, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
 from remitspark.llm.common import table
 from remitspark.session import scratch_folder
 
@@ -69,6 +69,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "clean_text", "removed", "n_removed")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    altered = {"text": F.when(hit, merkle.lowered(text)).otherwise(text)}
+    return merkle.manifest(table(spark, sf_dir, "documents"), altered=altered)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_line_dedup": op2_line_dedup,
@@ -80,6 +87,11 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op5_warc_round_trip": warc_zip.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op5_warc_round_trip": warc_zip.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
+}

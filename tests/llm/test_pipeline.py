@@ -11,7 +11,7 @@ from tests.llm.test_minhash_dedup import brute
 
 def test_registered():
     names = queries()
-    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert names["pipeline"].__wrapped__ is P.run and set(Q.QUERIES) <= set(names)
     assert set(Q.ORACLE_SQL) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
 
