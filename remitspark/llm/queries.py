@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import embedding_dedup, fingerprints, line_dedup, merkle, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
+from remitspark.llm import divergence, embedding_dedup, fingerprints, line_dedup, merkle, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
 from remitspark.llm.common import table
 from remitspark.session import scratch_folder
 
@@ -69,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "clean_text", "removed", "n_removed")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
@@ -87,11 +91,13 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_source_divergence": op11_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op5_warc_round_trip": warc_zip.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
