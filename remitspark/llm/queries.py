@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from remitspark.llm import divergence, embedding_dedup, fingerprints, line_dedup, merkle, minhash_dedup, mixing, packing, quality, substring_dedup, toxicity, warc_zip
+from remitspark.llm import divergence, embedding_dedup, fingerprints, line_dedup, merkle, minhash_dedup, mixing, packing, pii, quality, substring_dedup, toxicity, warc_zip
 from remitspark.llm.common import table
 from remitspark.session import scratch_folder
 
@@ -73,6 +73,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_personal_data": op12_personal_data,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
