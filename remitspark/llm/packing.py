@@ -37,9 +37,9 @@ SMALL_EVERY = 12
 #: Near-equal windows need a little room: this share of a block stays free.
 ROOM = 1 / 150
 END_ID = 1
-#: Words and parts of words that a Python worker keeps; the frequent ones come first.
-CACHED_WORDS = 2_000_000
-CACHED_PARTS = 500_000
+#: Words and parts of words that a Python worker keeps, some 70 MB; the frequent ones come first.
+CACHED_WORDS = 600_000
+CACHED_PARTS = 150_000
 #: Ids that one task packs.
 TASK_IDS = 4 << 20
 

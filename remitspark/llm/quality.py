@@ -43,14 +43,14 @@ def grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Bins and rows of all n-grams of a batch."""
     data, offsets = text_bytes(batch.column("text"))
     hashes = Hasher(data, lower=False)
-    row_of_byte = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    row_of_byte = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(offsets))
     at = np.flatnonzero(row_of_byte[GRAM - 1 :] == row_of_byte[: len(data) - GRAM + 1]) if len(data) >= GRAM else np.zeros(0, np.int64)
     start, end, row = word_bounds(data, offsets)
     words = hashes(start, end)
     pair = np.flatnonzero(row[1:] == row[:-1])
     same = mix((words[1:] == words[:-1]).astype(np.uint64) + BASE)
     values = np.concatenate([hashes(at, at + GRAM), same[pair]])
-    return (values % np.uint64(BINS)).astype(np.int64), np.concatenate([row_of_byte[at], row[pair]])
+    return (values % np.uint64(BINS)).astype(np.uint16), np.concatenate([row_of_byte[at], row[pair]])
 
 
 def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
