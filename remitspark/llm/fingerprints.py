@@ -22,7 +22,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -35,7 +34,8 @@ GROWTH = 4
 CELL = np.dtype([("count", "<i4"), ("digests", "<u8"), ("checks", "<u4")])
 SALTS = mix(np.arange(1, 4, dtype=np.uint64) + BASE)
 BUCKET_ROWS = 4000
-MOST_BUCKETS = 10_000
+#: Bounds of buckets that the driver holds, at most; beyond 400 million documents buckets grow.
+MOST_BUCKETS = 100_000
 #: Both versions of a slice are hashed side by side, so slices are small.
 SLICE_BYTES = 1 << 19
 
@@ -212,28 +212,27 @@ def _in_order(docs: DataFrame) -> DataFrame:
         found = ids.agg(F.percentile_approx("doc_id", steps, 10 * MOST_BUCKETS).alias("at")).first()["at"]
         bounds = np.unique(np.array(found or [], dtype=np.int64))
 
-    def numbers(values: pd.Series) -> np.ndarray:
-        """Bucket of each id: the largest ids are in bucket 0, nulls in the last."""
-        known = values.fillna(0).astype("int64").to_numpy()
-        return np.where(values.isna(), len(bounds), len(bounds) - np.searchsorted(bounds, known, "left"))
+    def numbers(values: pa.Array) -> np.ndarray:
+        """Bucket of each id: the largest ids are in bucket 0, nulls in the last. Ids stay whole numbers beside nulls."""
+        known = values.cast(pa.int64()).fill_null(0).to_numpy()
+        absent = values.is_null().to_numpy(zero_copy_only=False)
+        return np.where(absent, len(bounds), len(bounds) - np.searchsorted(bounds, known, "left"))
 
-    @F.pandas_udf("long")
-    def bucket_of(values: pd.Series) -> pd.Series:
-        return pd.Series(numbers(values))
+    @F.arrow_udf("long")
+    def bucket_of(values: pa.Array) -> pa.Array:
+        return pa.array(numbers(values), pa.int64())
 
     heads = ids.groupBy(bucket_of("doc_id").alias("bucket")).agg(F.max("doc_id").alias("head")).collect()
     heads = sorted((row["bucket"], row["head"]) for row in heads)
     before = {bucket: heads[k - 1][0] for k, (bucket, _) in enumerate(heads)}
     head_of = dict(heads)
 
-    @F.pandas_udf("array<long>")
-    def places(values: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<long>")
+    def places(values: pa.Array) -> pa.Array:
         out = []
-        for bucket, value, absent in zip(numbers(values).tolist(), values.tolist(), values.isna().tolist(), strict=True):
-            head = head_of[bucket]
-            is_head = absent if head is None else not absent and value == head
-            out.append([2 * bucket, 2 * before[bucket] + 1] if is_head else [2 * bucket])
-        return pd.Series(out)
+        for bucket, value in zip(numbers(values).tolist(), values.to_pylist(), strict=True):
+            out.append([2 * bucket, 2 * before[bucket] + 1] if value == head_of[bucket] else [2 * bucket])
+        return pa.array(out, pa.list_(pa.int64()))
 
     rows = docs.withColumn("place", F.explode(places("doc_id"))).withColumn("bucket", F.shiftright("place", 1))
     rows = rows.withColumn("copy", F.col("place") % 2 == 1).withColumn("text_key", F.xxhash64("text"))

@@ -95,3 +95,19 @@ def test_compare(spark):
     assert len(found[1].only_old) == len(found[1].only_new) == 1 and 0 < found[1].likeness < 1
     assert (found[2].only_old, found[2].only_new, found[2].likeness) == ([], [], 1.0)
     assert len(found[3].only_old) == 1 and found[3].likeness == 0.0
+
+
+@pytest.mark.parametrize("bucket_rows", [4000, 3])
+def test_large_ids_beside_null(spark, monkeypatch, bucket_rows):
+    """Ids beyond 2 ** 53 stay whole numbers: no row is lost, each is followed by the next one."""
+    monkeypatch.setattr(P, "BUCKET_ROWS", bucket_rows)
+    ids = [(1 << 60) + k for k in range(20)] + [-(1 << 62), 5, None, 1 << 53, (1 << 53) + 1]
+    rows = [(d, f"text {k} of id {d}, some words {k % 3}", "en", "s", 1) for k, d in enumerate(ids)]
+    found = P.edited_versions(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    want = []
+    for k, (doc_id, text, *_) in enumerate(order):
+        n = len(text) // 3
+        edited = text[: len(text) - n] + order[(k + 1) % len(order)][1][:n]
+        want.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in found), key=str) == sorted(want, key=str)
