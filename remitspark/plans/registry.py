@@ -87,10 +87,8 @@ def _loaded(spark: SparkSession, outs: Callable[[Callable[[str], None]], None])
     warehouse.create_transactions(spark, table, location=stored)
     try:
         outs(lambda out: warehouse.load(spark, out, table, mode="incremental"))
-        gone = spark.table(f"{table}_superseded")
-        rows = spark.table(f"{table}_rows").join(gone, ["source_file", "run_id"], "left_anti")
         # One file per task; the names in the catalog go with the session's work, the result stays.
-        return store(rows, f"{stored}/result")
+        return store(warehouse.current_rows(spark, table), f"{stored}/result")
     finally:
         warehouse.drop_transactions(spark, table)
 

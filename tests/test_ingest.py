@@ -289,6 +289,68 @@ def test_load_modes(spark, tmp_path):
     ]
 
 
+def test_a_load_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """Between all steps, and after a kill at each, readers see one version of every file."""
+    files, table = sample_files(), "tx_step"
+    put(tmp_path / "raw", files)
+    out = str(tmp_path / "out")
+    ingest_and_load(spark, str(tmp_path / "raw"), out, table=table)
+    ids = lambda: sorted(r.transaction_id for r in spark.table(table).collect())
+    before = ids()
+    again = {"in/f0.csv": csv_text([GOOD | {"transaction_id": "NEW", "transaction_ts": "2031/05/06"}]).encode()}
+    put(tmp_path / "raw", again)
+    ingest(spark, str(tmp_path / "raw"), out, paths=[str(tmp_path / "raw" / "in/f0.csv")])
+    seen, killed = [], []
+
+    def step(name: str, kill: str | None):
+        done = getattr(warehouse, name)
+
+        def run(*args):
+            seen.append(ids())
+            if kill == f"before {name}":
+                raise InterruptedError
+            done(*args)
+            if name != "commit":
+                seen.append(ids())
+            if kill == f"after {name}":
+                raise InterruptedError
+
+        return run
+
+    steps = ("write_rows", "write_superseded", "commit")
+    for kill in [f"{when} {name}" for name in steps for when in ("before", "after")][:-1]:
+        with monkeypatch.context() as patch:
+            for name in steps:
+                patch.setattr(warehouse, name, step(name, kill))
+            with pytest.raises(InterruptedError):
+                warehouse.load(spark, out, table, mode="incremental")
+        killed.append(ids())
+    assert len(killed) == 5 and all(rows == before for rows in seen + killed)
+    for _ in range(2):
+        warehouse.load(spark, out, table, mode="incremental")
+        want = expected(files | again)
+        assert len(ids()) == sum(len(w[0]) for w in want.values() if w) and "NEW" in ids()
+        assert spark.table(f"{table}_loads").select("load_id").distinct().count() == 2
+
+
+def test_two_loads_at_once_bring_a_run_once(spark, tmp_path, monkeypatch):
+    files, table = sample_files(), "tx_twice"
+    put(tmp_path / "raw", files)
+    out = str(tmp_path / "out")
+    ingest(spark, str(tmp_path / "raw"), out)
+    total = sum(len(w[0]) for w in expected(files).values() if w)
+    commit, held = warehouse.commit, []
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "commit", lambda *args: held.append(args))
+        for _ in range(2):  # neither sees the other
+            warehouse.load(spark, out, table, mode="incremental")
+    assert spark.table(table).count() == 0
+    for args in reversed(held):
+        commit(*args)
+        assert spark.table(table).count() == total
+    assert warehouse.current_rows(spark, table).select("source_file").distinct().count() == sum(bool(w and w[0]) for w in expected(files).values())
+
+
 def test_stream_equals_batch_and_restarts_where_it_stopped(spark, tmp_path):
     files = sample_files()
     put(tmp_path / "raw", files)
