@@ -253,6 +253,7 @@ _DIRTY = {
     "ingest_audit": "SELECT source_file, total_valid_records, total_rejected_records, "
     f"CAST(NULL AS VARCHAR) AS file_error FROM per_file UNION ALL (VALUES {_ODD_FILES})",
     "reingest_corrected_files": _CORRECTED,
+    "stream_reupload": _CORRECTED,
     "ingest_announced": "SELECT source_file, total_valid_records, total_rejected_records, "
     "CAST(NULL AS VARCHAR) AS file_error FROM per_file "
     "WHERE CAST(regexp_extract(source_file, 'batch_([0-9]+)', 1) AS BIGINT) % 4 <> 2",

@@ -18,6 +18,7 @@ from remitspark.plans.ingest import ingest, ingest_notifications
 from remitspark.session import drop_work_folder, new_work_folder, scratch_folder
 from remitspark.sources.notifications import route_notifications
 from remitspark.streaming.arrivals import ingest_stream
+from remitspark.streaming.versions import ingest_versions
 from remitspark.tables import fits_broadcast, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,12 +135,26 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reingest_corrected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest and load, some files sent again on other days and without faults, ingest and load: per file."""
+    return _corrected(spark, sf_dir, lambda raw, out, sent: ingest(spark, raw, out, sent))
+
+
+def stream_reupload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the stream, which finds the files that were sent again."""
+
+    def take(raw: str, out: str, sent: list[str] | None) -> None:
+        ingest_versions(spark, raw, out, f"{raw}-checkpoint").awaitTermination()
+
+    return _corrected(spark, sf_dir, take)
+
+
+def _corrected(spark: SparkSession, sf_dir: str, take: Callable[[str, str, list[str] | None], object]) -> DataFrame:
+    """Per file what is there after ``take`` has had all files, and again after some were sent corrected."""
     outs: list[str] = []
 
     def work(raw: str, out: str) -> None:
-        ingest(spark, raw, out)
+        take(raw, out, None)
         load(out)
-        ingest(spark, raw, out, sampledata.send_corrected_files(spark, sf_dir, raw))
+        take(raw, out, sampledata.send_corrected_files(spark, sf_dir, raw))
         load(out)
         outs.append(out)
 
@@ -206,4 +221,5 @@ REGISTRY: dict[str, Query] = {
     "reingest_corrected_files": reingest_corrected_files,
     "ingest_announced": ingest_announced,
     "stream_ingest": stream_ingest,
+    "stream_reupload": stream_reupload,
 }

@@ -14,6 +14,8 @@ from remitspark.plans.checks import CHECKS
 from remitspark.plans.ingest import audit_unseen, ingest, ingest_and_load, ingest_notifications
 from remitspark.session import new_work_folder
 from remitspark.sources.records import literal_path
+from remitspark.sources.walk import walk
+from remitspark.streaming import versions
 from remitspark.streaming.arrivals import ingest_stream
 from tests import rowwise
 from tests.test_csv_files import HEADER, ROW, line
@@ -64,10 +66,10 @@ def expected(files):
     return out
 
 
-def verify(spark, out, files):
-    want = expected(files)
-    audit = {r.source_file: r for r in sinks.read_audit(spark, out).collect()}
-    assert set(audit) == set(files)
+def verify(spark, out, files, also=()):
+    want, audit = expected(files), sinks.read_audit(spark, out)
+    audit = {r.source_file: r for r in sinks.current(audit, audit).collect()}
+    assert set(audit) == {*files, *also}
     valid, rejected = {}, {}
     for r in sinks.read_processed(spark, out).collect():
         valid.setdefault(r.source_file, []).append(r)
@@ -373,3 +375,58 @@ def test_stream_equals_batch_and_restarts_where_it_stopped(spark, tmp_path):
     put(tmp_path / "raw", more)
     run()
     verify(spark, out, files | more)
+
+
+def test_versions_stream_takes_files_that_are_sent_again(spark, tmp_path, monkeypatch):
+    """New, changed, hidden and empty files, in chunks; restarts, and a failure after the ingest."""
+    files = sample_files()
+    put(tmp_path / "raw", files | {"in/_hidden.csv": b"x", "in/deep/er/none.csv": b""})
+    (tmp_path / "raw" / "notes.txt").write_text("no")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run():
+        query = versions.ingest_versions(spark, str(tmp_path / "raw"), out, checkpoint, max_files=4)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    def errors():
+        audit = sinks.read_audit(spark, out)
+        last = sinks.current(audit, audit).filter("file_error IS NOT NULL").collect()
+        return {r.source_file: r.file_error.split(":")[0] for r in last}
+
+    run()
+    assert errors()["in/_hidden.csv"] == S.HIDDEN_NAME and errors()["in/deep/er/none.csv"] == S.MISSING_REQUIRED_COLUMNS
+    verify(spark, out, files, also=("in/_hidden.csv", "in/deep/er/none.csv"))
+    written = sorted(glob.glob(f"{out}/**/*.*", recursive=True))
+    run()
+    assert sorted(glob.glob(f"{out}/**/*.*", recursive=True)) == written
+
+    again = {
+        "in/f0.csv": csv_text([GOOD | {"transaction_id": "NEW", "transaction_ts": "2031/05/06"}]).encode(),
+        "in/deep/er/none.csv": f"{HEADER}\n{ROW}\n".encode(),
+        "in/[new] f+g%41.CSV": f"{HEADER}\n{ROW}\n".encode(),
+    }
+    put(tmp_path / "raw", again)
+
+    def fail(*args):
+        ingest(*args)
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "ingest", fail)
+        with pytest.raises(Exception, match="InterruptedError"):
+            run()
+    run()
+    assert "in/deep/er/none.csv" not in errors()
+    verify(spark, out, files | again, also=("in/_hidden.csv",))
+    rows = sinks.read_processed(spark, out)
+    assert [r.transaction_id for r in rows.filter("source_file = 'in/f0.csv'").collect()] == ["NEW"]
+
+
+def test_walk_lists_all_files(spark, tmp_path):
+    names = ["a.csv", "b/c.txt", "b/.d/e.csv", "f/g/h/i j%41.csv", "_k.csv", "b/[l].csv"]
+    put(tmp_path / "raw", {name: b"x" * k for k, name in enumerate(names)})
+    (tmp_path / "raw" / "empty folder").mkdir()
+    found = walk(spark, str(tmp_path / "raw"), str(tmp_path / "work")).collect()
+    assert {r.name: r.length for r in found} == {name: k for k, name in enumerate(names)}
+    assert all(r.modified == (tmp_path / "raw" / r.name).stat().st_mtime_ns for r in found)
