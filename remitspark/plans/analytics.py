@@ -3,6 +3,8 @@
 Each takes the table as a DataFrame. Grouped queries aggregate inside each task first,
 so a key that holds a third of the rows sends one row per task. Ties in the order fall to
 the group key, or to the transaction id.
+
+Fixed values: the names of results and the filters' literals, which callers know.
 """
 
 from __future__ import annotations

@@ -39,7 +39,7 @@ MISSING_MERCHANT_ID = "MISSING_MERCHANT_ID"
 MISSING_PAYMENT_METHOD_ID = "MISSING_PAYMENT_METHOD_ID"
 MISSING_REGION = "MISSING_REGION"
 
-# Whole-file failures.
+# Whole-file failures.
 MISSING_REQUIRED_COLUMNS = "MISSING_REQUIRED_COLUMNS"
 FIELD_TOO_LARGE = "FIELD_TOO_LARGE"
 STRAY_CARRIAGE_RETURN = "STRAY_CARRIAGE_RETURN"
