@@ -8,6 +8,9 @@ seen as a whole or not at all, and what a load that was cut off has left is neve
 is written in place. If two loads bring the same run at once, the view shows the run once, from
 the load with the smaller id.
 
+Files are sorted by amount, each by itself and without a shuffle, and hold a Bloom filter of transaction
+ids: ranges of amounts read some pages of a file, lookups of an id open the files that may have it.
+
 The view resolves the commits before the rows: what a commit names was written before it.
 """
 
@@ -22,6 +25,8 @@ from remitspark import schema as S
 from remitspark.operators import sinks
 
 KINDS = ("rows", "superseded", "loads")
+#: Rows of a file are sorted by one column, so that a range of it is in few pages; a Bloom filter is on the other.
+SORTED, LOOKUP = "amount", "transaction_id"
 
 
 def create_transactions(
@@ -30,12 +35,14 @@ def create_transactions(
     """Creates tables and view where absent, in ``location`` or in the session's warehouse."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.TRANSACTIONS.fields)
 
-    def create(kind: str, columns: str, partitions: str = "") -> None:
+    def create(kind: str, columns: str, partitions: str = "", options: dict[str, str] | None = None) -> None:
         place = f" LOCATION '{location}/{kind}'" if location else ""
         by = f" PARTITIONED BY ({partitions})" if partitions else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_{kind} ({columns}) USING parquet{by}{place}")
+        given = f" OPTIONS ({', '.join(f'{k!r} = {v!r}' for k, v in options.items())})" if options else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_{kind} ({columns}) USING parquet{given}{by}{place}")
 
-    create("rows", f"{columns}, source_file string, run_id string, load_id string, claim string", "load_id, claim")
+    rows = f"{columns}, source_file string, run_id string, load_id string, claim string"
+    create("rows", rows, "load_id, claim", {f"parquet.bloom.filter.enabled#{LOOKUP}": "true", "parquet.bloom.filter.adaptive.enabled": "true"})
     create("superseded", "source_file string, run_id string, load_id string", "load_id")
     create("loads", "load_id string, claim string")
     spark.sql(f"CREATE VIEW IF NOT EXISTS {table} AS {_current(table, S.REQUIRED_COLUMNS)}")
@@ -92,7 +99,7 @@ def load(spark: SparkSession, out_dir: str, table: str = "transactions", mode: s
 def write_rows(processed: DataFrame, table: str, load_id: str, claim: Column) -> None:
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRANSACTIONS.fields]
     rows = processed.select(*typed, "source_file", "run_id", F.lit(load_id).alias("load_id"), claim.alias("claim"))
-    rows.write.insertInto(f"{table}_rows")
+    rows.sortWithinPartitions("load_id", "claim", SORTED).write.insertInto(f"{table}_rows")
 
 
 def write_superseded(gone: DataFrame, table: str, load_id: str) -> None:

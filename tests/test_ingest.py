@@ -335,6 +335,30 @@ def test_a_load_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
         assert spark.table(f"{table}_loads").select("load_id").distinct().count() == 2
 
 
+def test_filters_read_some_rows_of_the_table(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    n, table = 200_000, "tx_skip"
+    values = {"transaction_id": "concat('T', id)", "amount": "id * 7919 % 1000", "source_file": "'f'", "run_id": "'r'"}
+    columns = [F.expr(f"CAST({values.get(x.name, 'NULL')} AS {x.dataType.simpleString()}) AS {x.name}") for x in S.TRANSACTIONS.fields]
+    files = [F.expr(f"{values[name]} AS {name}") for name in ("source_file", "run_id")]
+    warehouse.create_transactions(spark, table)
+    warehouse.write_rows(spark.range(n).repartition(4, "id").select(*columns, *files), table, "l", F.lit("l"))
+    warehouse.commit(spark.createDataFrame([("l",)], "claim string"), table, "l")
+
+    def read(condition: str) -> tuple[int, int]:
+        """Rows found, and rows that the scan gave."""
+        found = spark.table(table).filter(condition)
+        rows = len(found.collect())
+        leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return rows, max(scan.metrics().apply("numOutputRows").value() for scan in scans if "amount" in scan.toString())
+
+    rows, scanned = read("amount > 949")
+    assert rows == n // 20 and rows <= scanned < n // 2
+    assert read("transaction_id = 'T4711'")[0] == 1 and read("transaction_id = 'T4711'")[1] < n // 2
+    assert read("transaction_id = 'none'") == (0, 0)
+
+
 def test_two_loads_at_once_bring_a_run_once(spark, tmp_path, monkeypatch):
     files, table = sample_files(), "tx_twice"
     put(tmp_path / "raw", files)
