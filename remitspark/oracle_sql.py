@@ -257,6 +257,9 @@ _DIRTY = {
     "ingest_announced": "SELECT source_file, total_valid_records, total_rejected_records, "
     "CAST(NULL AS VARCHAR) AS file_error FROM per_file "
     "WHERE CAST(regexp_extract(source_file, 'batch_([0-9]+)', 1) AS BIGINT) % 4 <> 2",
+    "announced_stream": "SELECT source_file, total_valid_records, total_rejected_records, "
+    "CAST(NULL AS VARCHAR) AS file_error FROM per_file "
+    "WHERE CAST(regexp_extract(source_file, 'batch_([0-9]+)', 1) AS BIGINT) % 4 <> 2",
     "stream_ingest": "SELECT source_file, total_valid_records, total_rejected_records, "
     f"CASE WHEN total_valid_records > 0 THEN {_PROCESSED_DIR} END AS processed_dir, "
     "CASE WHEN total_rejected_records > 0 THEN 'rejected/' END AS rejected_dir, "

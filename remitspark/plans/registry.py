@@ -17,6 +17,7 @@ from remitspark.plans.checks import CHECKS
 from remitspark.plans.ingest import ingest, ingest_notifications
 from remitspark.session import drop_work_folder, new_work_folder, scratch_folder
 from remitspark.sources.notifications import route_notifications
+from remitspark.streaming.announced import ingest_announced_stream
 from remitspark.streaming.arrivals import ingest_stream
 from remitspark.streaming.versions import ingest_versions
 from remitspark.tables import fits_broadcast, store
@@ -187,6 +188,21 @@ def ingest_announced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select(name, "total_valid_records", "total_rejected_records", "file_error")
 
 
+def announced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream that is stopped half way, with all of them sent twice."""
+
+    def work(raw: str, out: str) -> None:
+        log = store(sampledata.announcements(spark, raw), f"{out}/log")
+        for part in (log.filter(F.crc32("json") % 2 == 0), log, log):
+            part.write.mode("append").text(f"{raw}-messages")
+            given = (f"{raw}-messages", raw.removesuffix("/raw"), out, f"{raw}-checkpoint")
+            ingest_announced_stream(spark, *given, bucket="landing", max_files=100).awaitTermination()
+
+    audit = read_audit(spark, _ingested(spark, sf_dir, work))
+    name = sampledata.batch_name(F.col("source_file")).alias("source_file")
+    return audit.select(name, "total_valid_records", "total_rejected_records", "file_error")
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files picked up by the stream; its audit rows."""
 
@@ -222,4 +238,5 @@ REGISTRY: dict[str, Query] = {
     "ingest_announced": ingest_announced,
     "stream_ingest": stream_ingest,
     "stream_reupload": stream_reupload,
+    "announced_stream": announced_stream,
 }

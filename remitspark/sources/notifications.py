@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from remitspark.functions import is_csv
 
 # The envelopes' field names and constants.
-_OBJECT = "struct<bucket: struct<name: string>, object: struct<key: string>>"
+_OBJECT = "struct<bucket: struct<name: string>, object: struct<key: string, sequencer: string>>"
 ENVELOPE = (
     f"source string, `detail-type` string, detail {_OBJECT}, Records array<struct<s3: {_OBJECT}>>"
 )
@@ -29,7 +29,7 @@ def decode_key(key: Column) -> Column:
 def route_notifications(
     log: DataFrame, bucket: str | None = None, prefix: str = "raw/"
 ) -> DataFrame:
-    """Adds ``bucket``, ``key``, ``status`` and ``error`` to rows with a ``json`` column.
+    """Adds ``bucket``, ``key``, ``sequencer``, ``status`` and ``error`` to rows with a ``json`` column.
 
     Bus events and direct notifications are understood; a direct one gives a row per
     record. ``bucket`` and ``prefix`` are the subscription: a bus event outside of them
@@ -48,6 +48,7 @@ def route_notifications(
         .withColumn("is_known", F.col("is_bus") | F.col("has_records"))
         .withColumn("object", F.explode_outer("found"))
         .withColumns({"bucket": F.col("object.bucket.name"), "raw_key": F.col("object.object.key")})
+        .withColumn("sequencer", F.col("object.object.sequencer"))
     )
     valid = F.col("bucket").isNotNull() & F.col("raw_key").isNotNull()
     subscribed = F.col("raw_key").startswith(prefix)

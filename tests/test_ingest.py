@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from remitspark.session import new_work_folder
 from remitspark.sources.records import literal_path
 from remitspark.sources.walk import walk
 from remitspark.streaming import versions
+from remitspark.streaming.announced import ingest_announced_stream
 from remitspark.streaming.arrivals import ingest_stream
 from tests import rowwise
 from tests.test_csv_files import HEADER, ROW, line
@@ -224,6 +226,34 @@ def test_notifications_start_the_ingest(spark, tmp_path):
     assert nothing.collect() == []
 
 
+def test_messages_as_a_stream_start_each_version_once(spark, tmp_path):
+    """Repeats within a batch and after a restart start nothing; a new sequencer does."""
+    files = {f"raw/{name}.csv": f"{HEADER}\n{ROW}\n".encode() for name in "abcde"}
+    put(tmp_path / "landing", files)
+    (tmp_path / "log").mkdir()
+    out = str(tmp_path / "out")
+
+    def sent(key, sequencer):
+        message = bus(key)
+        message["detail"]["object"]["sequencer"] = sequencer
+        return message
+
+    def run(name, messages):
+        (tmp_path / "log" / name).write_text("".join(json.dumps(m) + "\n" for m in messages))
+        where = (str(tmp_path / "log"), str(tmp_path / "landing"), out, str(tmp_path / "checkpoint"))
+        query = ingest_announced_stream(spark, *where, bucket="landing", max_files=2)
+        query.awaitTermination()
+        assert query.exception() is None
+        return Counter(r.source_file for r in sinks.read_audit(spark, out).collect())
+
+    first = [sent("raw/a.csv", "1"), sent("raw/a.csv", "1"), direct("raw/b.csv", "raw/c.csv"), bus("raw/b.csv"), bus("raw/x.txt"), bus("raw/d.csv", bucket="other")]
+    once = {"raw/a.csv": 1, "raw/b.csv": 1, "raw/c.csv": 1}
+    assert run("1", first) == once
+    assert run("2", first + ["no json"]) == once
+    assert run("3", [sent("raw/a.csv", "2"), bus("raw/c.csv"), bus("raw/e.csv")]) == once | {"raw/a.csv": 2, "raw/e.csv": 1}
+    assert sinks.read_processed(spark, out).groupBy("source_file").count().agg(F.max("count")).first()[0] == 1
+
+
 def test_work_folder_is_left_clean(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(glob.glob(f"{shared}/*"))
