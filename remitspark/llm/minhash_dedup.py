@@ -10,7 +10,7 @@ in what follows. Classes with one key in a table are candidates if two bits of e
 minhashes agree. Families of classes that candidates connect are then linked by exact counts on
 full shingle sets: a class outside the largest component of its family is compared with all
 others at once, so that a large group of near copies costs a few comparisons and gives
-one link a member.
+one link a member. Large families are compared block by block, in as many tasks.
 
 Defined results: a null or empty text has an empty set and is linked with nothing. A document
 without an id is never linked: its component_id is null and it is kept. Rows that share an id
@@ -25,11 +25,12 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from remitspark.llm.common import arrow_schema, stored
 from remitspark.llm.components import components
 from remitspark.llm.textarrays import BASE, Hasher, mix, row_ranges, shingles, slices, text_bytes, word_bounds
+from remitspark.tables import fits_broadcast
 
 #: Minhashes in a sub-key and number of sub-keys, for both collections.
 COLLECTIONS = ((2, 9), (3, 12))
@@ -41,8 +42,10 @@ FLIPS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) + BASE)
 #: the pairs of similarity 0.8 that share a key.
 ALIKE = 35
 RUN_ROWS = 100_000
-#: Bytes of sets in a block; a task holds two blocks.
-BLOCK_BYTES = 16 << 20
+#: Bytes of sets in a block; a task holds two blocks, with some ten times as much memory.
+BLOCK_BYTES = 2 << 20
+#: Classes of a large family that all its blocks are compared with.
+LEADERS = 16
 
 
 def _row_shingles(batch: pa.RecordBatch, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -270,19 +273,8 @@ def linked(sizes: np.ndarray, members: np.ndarray, similarity: int) -> list[tupl
                 label[np.isin(label, labels)] = labels[0]
 
 
-def _links(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Confirmed links (a, b) that connect classes in the families that shared keys make of them.
-
-    A family that is too large for a task is cut into blocks, and every pair of blocks is a task.
-    """
-    families = components(collisions).select("node", F.col("root").alias("family"))
-    held = stored(families.join(sets, "node"), "families")
-    blocks = F.ceil(F.sum(F.size("members") * 8 + 64) / BLOCK_BYTES).cast("int").alias("blocks")
-    counted = held.join(held.groupBy("family").agg(blocks), "family")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (k != mine) | (F.col("blocks") == 1))
-    spread = counted.withColumn("mine", mine).withColumn("other", F.explode(others))
-    task = F.xxhash64("family", F.least("mine", "other"), F.greatest("mine", "other"))
+def _compared(dealt: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that connect the similar classes among the rows (task, node, members) of each task."""
     arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +286,58 @@ def _links(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame
             node = table.column("node").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], schema=arrow)
 
-    rows = spread.select(task.alias("task"), "node", "members").repartition("task").sortWithinPartitions("task")
-    return stored(rows.mapInArrow(compare, "a long, b long"), "confirmed")
+    rows = dealt.select("task", "node", "members").repartition("task").sortWithinPartitions("task")
+    return rows.mapInArrow(compare, "a long, b long").filter("a <> b")
+
+
+def _blocks() -> Column:
+    """Number of blocks for rows with members."""
+    return F.ceil(F.sum(F.size("members") * 8 + 64) / BLOCK_BYTES).cast("int")
+
+
+def _block_of(node: str, blocks: str) -> Column:
+    return F.pmod(F.xxhash64(node), F.col(blocks)).cast("int")
+
+
+def _all(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
+def _links(collisions: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Confirmed links (a, b) that connect classes in the families that shared keys make of them.
+
+    A family that is too large for a task is cut into blocks. First every block is compared within
+    itself and with a few classes that lead the family. Most of a family of near copies is one
+    component then. Each class outside of the largest one is compared with all blocks, itself in blocks:
+    two similar classes are both in the largest component, or meet in a task.
+    """
+    families = components(collisions).select("node", F.col("root").alias("family"))
+    held = stored(families.join(sets, "node"), "families")
+    counted = stored(held.groupBy("family").agg(_blocks().alias("blocks")), "family-blocks")
+    counted = F.broadcast(counted) if fits_broadcast(counted) else counted
+    held = held.join(counted, "family").withColumn("block", _block_of("node", "blocks"))
+
+    large = held.filter("blocks > 1")
+    place = F.row_number().over(Window.partitionBy("family").orderBy("node"))
+    leaders = large.withColumn("place", place).filter(F.col("place") <= LEADERS).drop("place")
+    copies = leaders.withColumn("other", _all("blocks")).filter("other <> block").withColumn("block", F.col("other")).drop("other")
+    dealt = held.unionByName(copies).withColumn("task", F.xxhash64("family", "block"))
+    links = stored(_compared(dealt, similarity), "led")
+    if large.isEmpty():
+        return links
+
+    roots = components(stored(links.join(large.select(F.col("node").alias("a")), "a", "left_semi"), "large"))
+    placed = stored(large.select("node", "family").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    sizes = placed.groupBy("family", "root").count()
+    largest = sizes.groupBy("family").agg(F.max_by("root", F.struct("count", "root")).alias("root"))
+    outside = placed.join(largest, ["family", "root"], "left_anti").select("node")
+    queries = large.join(outside, "node", "left_semi").select("family", "node", "members", "blocks")
+    parts = queries.groupBy("family").agg(_blocks().alias("parts"))
+    queries = queries.join(parts, "family").withColumn("part", _block_of("node", "parts")).withColumn("block", _all("blocks"))
+    others = large.join(parts, "family").withColumn("part", _all("parts"))
+    both = queries.select("family", "block", "part", "node", "members").unionByName(others.select("family", "block", "part", "node", "members"))
+    dealt = both.withColumn("task", F.xxhash64("family", "block", "part"))
+    return stored(links.unionByName(_compared(dealt, similarity)), "confirmed")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

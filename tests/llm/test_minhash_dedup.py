@@ -59,11 +59,12 @@ def test_odd_rows(spark, odd_docs, words):
     assert got(M.near_duplicates(odd_docs, words=words)) == want
 
 
-@pytest.mark.parametrize("run_rows, block", [(100_000, 16 << 20), (5, 20_000)])
-def test_chains_and_groups_of_near_copies(spark, monkeypatch, run_rows, block):
+@pytest.mark.parametrize("run_rows, block, leaders", [(100_000, 16 << 20, 16), (5, 20_000, 1), (5, 5_000, 3)])
+def test_chains_and_groups_of_near_copies(spark, monkeypatch, run_rows, block, leaders):
     """Copies of copies, of which the ends are unlike; long runs in parts; families in blocks."""
     monkeypatch.setattr(M, "RUN_ROWS", run_rows)
     monkeypatch.setattr(M, "BLOCK_BYTES", block)
+    monkeypatch.setattr(M, "LEADERS", leaders)
     rnd = random.Random(11)
     rows = []
     for group in range(6):
