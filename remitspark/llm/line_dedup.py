@@ -11,14 +11,15 @@ compared, and a blank line is never removed.
 
 Defined results: a null text stays null and has no lines; an empty text has one blank line. A
 null site is a site like any other, a null id comes before all others. Rows that share an id and
-a text lose the same lines. An empty table gives no rows. Other columns are not read.
+a text lose the same lines. Texts of any length are split whole, in time that grows with their length. An
+empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from remitspark.llm.common import stored
+from remitspark.llm.common import let, stored
 
 MIN_SITES = 10
 #: A sketch has 2**12 registers; its standard error is 1.04 / sqrt(2**12) of the count.
@@ -32,7 +33,9 @@ BLANK = " \t\n\x0b\x0c\r"
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, site, text_key, pos, high, low) of the lines that are not blank."""
-    split = docs.select("doc_id", "site", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")))
+    # The key of a text is computed before its lines are told apart, once a text.
+    texts = docs.select("doc_id", "site", F.xxhash64("text").alias("text_key"), F.split("text", "\n").alias("lines"))
+    split = texts.select("doc_id", "site", "text_key", F.posexplode("lines"))
     line = split.withColumn("line", F.btrim("col", F.lit(BLANK))).filter("line != ''")
     return line.select("doc_id", "site", "text_key", "pos", *_hashes("line"))
 
@@ -63,6 +66,12 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return stored(sure.drop("sites").unionByName(confirmed), "boilerplate")
 
 
+def _between(lines: Column, gone: Column) -> Column:
+    """The lines but for those at some sorted positions: the runs between them, so that long texts take linear time."""
+    before, after = F.concat(F.array(F.lit(-1)), gone), F.concat(gone, F.array(F.size(lines)))
+    return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
+
+
 def remove_boilerplate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", *, min_sites: int = MIN_SITES
 ) -> DataFrame:
@@ -80,12 +89,11 @@ def remove_boilerplate(
         .agg(F.collect_set("pos").alias("gone"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.xxhash64("text") == F.col("of_text"))
-    split = F.split("text", "\n")
-    left = F.filter(split, lambda _, i: ~F.array_contains("gone", i))
+    left = let(F.split("text", "\n"), lambda lines: let(F.sort_array("gone"), lambda gone: _between(lines, gone)))
     return rows.join(gone, same, "left").select(
         "row",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("clean_text"),
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 

@@ -28,7 +28,7 @@ from math import exp, log
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from remitspark.llm.common import stored
+from remitspark.llm.common import let, stored
 
 SURE = 0.9
 #: Code points before and after a candidate that are looked at.
@@ -65,11 +65,6 @@ CUES = {
 COUNTER_CUES = "version|versions|v|release|section|chapter|isbn|issn|doi|page|pages|fig|figure|table|order|invoice|ref|id|no|nr|build|serial|price|total|year|line|item"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, also where the body has it in functions over arrays."""
-    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
-
-
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 

@@ -64,3 +64,12 @@ def test_query_equals_sql(spark):
     want = con.sql(ORACLE_SQL["op2_line_dedup"]).df().sort_values("doc_id").reset_index(drop=True)
     for name in want.columns:
         assert (got[name] == want[name]).all(), name
+
+
+def test_long_text(spark):
+    """A million lines, half of them boilerplate, in one text of several slices."""
+    long = "\n".join(f"own line {k}" if k % 2 else f"shared {k % 1000}" for k in range(1_000_000))
+    rows = [(k, "\n".join(f"shared {n}" for n in range(0, 1000, 2)), "en", f"s{k}", 1) for k in range(3)] + [(9, long, "en", "s9", 1)]
+    found = line_dedup.remove_boilerplate(spark.createDataFrame(rows, DOCS), min_sites=3).filter("row.doc_id = 9").first()
+    assert (found.n_lines, found.n_removed) == (1_000_000, 500_000)
+    assert found.clean_text == "\n".join(f"own line {k}" for k in range(1, 1_000_000, 2))
