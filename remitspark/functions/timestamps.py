@@ -32,7 +32,8 @@ def parse_timestamp(c: Column) -> Column:
 def timestamp_of(text: Column) -> Column:
     """:func:`parse_timestamp` of text that is clean already.
 
-    The shapes exclude one another, so a row pays for at most four tests and one rewrite.
+    The shapes exclude one another, and a slash tells two of them from the others, so a row pays
+    for at most two tests and one rewrite.
     """
 
     def rewritten(shape: str, standard: str | Column) -> Column:
@@ -43,12 +44,13 @@ def timestamp_of(text: Column) -> Column:
     half_day = F.when(F.lower(text).endswith("pm"), F.expr("INTERVAL '12' HOUR")).otherwise(
         F.expr("INTERVAL '0' HOUR")
     )
-    return (
-        F.when(text.rlike(ISO), rewritten(ISO, "$1-$2-$3T$4:$5:$6"))
-        .when(text.rlike(DAY_FIRST), rewritten(DAY_FIRST, "$3-$2-$1T$4:$5:00"))
-        .when(text.rlike(MONTH_FIRST), rewritten(MONTH_FIRST, morning) + half_day)
-        .when(text.rlike(DATE_ONLY), rewritten(DATE_ONLY, "$1-$2-$3T00:00:00"))
+    slashes = F.when(text.rlike(MONTH_FIRST), rewritten(MONTH_FIRST, morning) + half_day).when(
+        text.rlike(DATE_ONLY), rewritten(DATE_ONLY, "$1-$2-$3T00:00:00")
     )
+    dashes = F.when(text.rlike(ISO), rewritten(ISO, "$1-$2-$3T$4:$5:$6")).when(
+        text.rlike(DAY_FIRST), rewritten(DAY_FIRST, "$3-$2-$1T$4:$5:00")
+    )
+    return F.when(F.contains(text, F.lit("/")), slashes).otherwise(dashes)
 
 
 def iso_text(c: Column) -> Column:

@@ -22,15 +22,24 @@ def _date_parts(day: Column) -> dict[str, Column]:
     }
 
 
-def write_processed(valid: DataFrame, day: Column, path: str, run_id: str, regroup: bool) -> None:
+def write_processed(
+    valid: DataFrame, day: Column, path: str, run_id: str, regroup: bool, scattered: DataFrame | None = None
+) -> None:
     """Snappy Parquet under ``year=/month=/day=/run_id=``; no rows, no output.
 
     ``regroup`` brings rows of a date together that a shuffled join or per-row dates have
-    spread; it cuts hot partitions into several tasks and packs small ones.
+    spread; it cuts hot partitions into several tasks and packs small ones. ``scattered`` are
+    more valid rows, which alone are regrouped if the others stand as their files do.
     """
-    out = valid.withColumns(_date_parts(day)).withColumn("run_id", F.lit(run_id)).select(S.PROCESSED.fieldNames())
-    if regroup:
-        out = out.hint("rebalance", *S.PROCESSED_PARTITIONS)
+
+    def placed(rows: DataFrame, regroup: bool) -> DataFrame:
+        out = rows.withColumns(_date_parts(day)).withColumn("run_id", F.lit(run_id)).select(S.PROCESSED.fieldNames())
+        return out.hint("rebalance", *S.PROCESSED_PARTITIONS) if regroup else out
+
+    if scattered is None or regroup:
+        out = placed(valid if scattered is None else valid.unionByName(scattered), regroup)
+    else:
+        out = placed(valid, False).unionByName(placed(scattered, True))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

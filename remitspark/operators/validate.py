@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from remitspark import functions as R
 from remitspark import schema as S
-from remitspark.tables import lookup
+from remitspark.tables import lookup, without_match
+
+
+MATCH_KEYS = ["source_file", "match_id"]
 
 
 def check_rows(raw: DataFrame) -> DataFrame:
@@ -84,14 +87,34 @@ def mark_duplicates(checked: DataFrame, repeated: DataFrame, small: bool | None
     broadcast. Without it the join is a plain left join, of which adaptive execution may
     split the hot keys.
     """
+    keyed = _with_match_id(checked)
+    if small is None:
+        joined = keyed.join(repeated.drop("row_count"), MATCH_KEYS, "left")
+    else:
+        joined = lookup(keyed, repeated, MATCH_KEYS, "row_count", F.col("row_pos"), small, sparse=True)
+    return _with_reason(joined)
+
+
+def mark_in_parts(checked: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`mark_duplicates` by a stored ``repeated`` that is too large for a broadcast, as two parts.
+
+    Rows of the first part surely have no match and stay in the tasks that read them. Rows of the
+    second may have one and are shuffled.
+    """
+    may, never = without_match(_with_match_id(checked), repeated, MATCH_KEYS)
+    found = lookup(may, repeated, MATCH_KEYS, "row_count", F.col("row_pos"), small=False)
+    alone = never.withColumn("first_valid_pos", F.lit(None).cast("long"))
+    return _with_reason(alone), _with_reason(found)
+
+
+def _with_match_id(checked: DataFrame) -> DataFrame:
     match_id = F.when(F.col("clean_id") == "", F.concat(F.lit(" "), F.col("row_pos"))).otherwise(
         F.col("clean_id")
     )
-    keyed, keys = checked.withColumn("match_id", match_id), ["source_file", "match_id"]
-    if small is None:
-        joined = keyed.join(repeated.drop("row_count"), keys, "left")
-    else:
-        joined = lookup(keyed, repeated, keys, "row_count", F.col("row_pos"), small, sparse=True)
+    return checked.withColumn("match_id", match_id)
+
+
+def _with_reason(joined: DataFrame) -> DataFrame:
     reason = F.when(F.col("row_pos") > F.col("first_valid_pos"), S.DUPLICATE_TRANSACTION_ID).otherwise(
         F.col("fault")
     )

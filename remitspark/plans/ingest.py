@@ -50,26 +50,33 @@ def ingest(
         checked, files = read_raw(spark, raw_dir, paths, folder, V.check_rows, max_field_chars)
         repeated = store(V.first_valid(checked), f"{folder}/repeated")
         few_repeated = fits_broadcast(repeated)
-        marked = V.mark_duplicates(checked, repeated, few_repeated)
-        if not few_repeated:
-            # Rows of ids that may be repeated are shuffled; stored, so that it happens once.
-            marked = store(marked, f"{folder}/marked")
+        if few_repeated:
+            marked = stays = V.mark_duplicates(checked, repeated, True)
+            shuffled = None
+        else:
+            stays, shuffled = V.mark_in_parts(checked, repeated)
+            # Only rows of ids that may be repeated are shuffled; stored, so that it happens once.
+            shuffled = store(shuffled, f"{folder}/shuffled")
+            marked = stays.unionByName(shuffled)
         summary = store(A.file_summary(marked), f"{folder}/summary")
 
-        valid = V.valid_rows(marked)
         if partition_by == "file":
             dates = A.partition_dates(summary, "total_valid_records")
             few_files = fits_broadcast(dates)
-            valid = lookup(
-                valid, dates, ["source_file"], "total_valid_records", F.col("row_pos"), few_files
-            )
-            day, regroup = F.col("partition_date"), not (few_repeated and few_files)
+            day, regroup = F.col("partition_date"), not few_files
         else:
             day, regroup = F.col("transaction_ts"), True
+        valid, scattered = V.valid_rows(marked), None
+        if shuffled is not None and not regroup:
+            valid, scattered = V.valid_rows(stays), V.valid_rows(shuffled)
+        if partition_by == "file":
+            by_file = (dates, ["source_file"], "total_valid_records", F.col("row_pos"), few_files)
+            valid = lookup(valid, *by_file)
+            scattered = scattered and lookup(scattered, *by_file)
         rejected = without_headers(V.rejected_rows(marked), summary, "total_rejected_records")
 
         sinks.write_rejected(rejected, f"{out_dir}/rejected", run_id)
-        sinks.write_processed(valid, day, f"{out_dir}/processed", run_id, regroup)
+        sinks.write_processed(valid, day, f"{out_dir}/processed", run_id, regroup, scattered)
         # Last: rows of a run without an audit row are not loaded.
         sinks.write_audit(_audit(files, summary, run_id, partition_by), f"{out_dir}/audit")
     finally:

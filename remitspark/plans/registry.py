@@ -82,15 +82,19 @@ def _ingested(spark: SparkSession, sf_dir: str, work: Callable[[str, str], None]
     return out
 
 
-def _loaded(spark: SparkSession, outs: Callable[[Callable[[str], None]], None]) -> DataFrame:
-    """Current rows, with their files, of a table into which ``outs`` loads output folders."""
+def _loaded(
+    spark: SparkSession,
+    outs: Callable[[Callable[[str], None]], None],
+    result: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """``result`` of the current rows, with their files, of a table into which ``outs`` loads output folders."""
     stored = scratch_folder(spark, "table")
     table = "transactions_" + stored[-32:]
     warehouse.create_transactions(spark, table, location=stored)
     try:
         outs(lambda out: warehouse.load(spark, out, table, mode="incremental"))
         # One file per task; the names in the catalog go with the session's work, the result stays.
-        return store(warehouse.current_rows(spark, table), f"{stored}/result")
+        return store(result(warehouse.current_rows(spark, table)), f"{stored}/result")
     finally:
         warehouse.drop_transactions(spark, table)
 
@@ -166,12 +170,16 @@ def _corrected(spark: SparkSession, sf_dir: str, take: Callable[[str, str, list[
 
     load: Callable[[str], None] = lambda out: None
     name = sampledata.batch_name(F.col("source_file")).alias("source_file")
-    valid = _loaded(spark, run).groupBy(name).agg(
-        F.count("*").alias("valid_rows"),
-        F.sum("amount").cast("decimal(38,2)").alias("valid_amount"),
-        F.min("transaction_ts").alias("first_ts"),
-        F.max("transaction_ts").alias("last_ts"),
-    )
+
+    def per_file(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(name).agg(
+            F.count("*").alias("valid_rows"),
+            F.sum("amount").cast("decimal(38,2)").alias("valid_amount"),
+            F.min("transaction_ts").alias("first_ts"),
+            F.max("transaction_ts").alias("last_ts"),
+        )
+
+    valid = _loaded(spark, run, per_file)
     rejected = read_rejected(spark, outs[0]).groupBy(name).agg(F.count("*").alias("rejected_rows"))
     return valid.join(rejected, "source_file", "left").fillna(0, ["rejected_rows"])
 

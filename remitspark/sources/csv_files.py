@@ -17,6 +17,8 @@ from remitspark.tables import lookup, store
 
 OPEN = "OPEN"
 FEW_FILES = 1000
+#: Columns of parsed and checked rows whose values hardly repeat.
+UNLIKE = ("row_pos", "transaction_id", "transaction_ts", "customer_id", "amount", "clean_id", "parsed_ts", "parsed_amount")
 
 
 def admit(paths: DataFrame) -> DataFrame:
@@ -75,14 +77,17 @@ def read_raw(
     lines = L.scan_lines(spark, scanned) if scanned else spark.createDataFrame([], L.LINES)
 
     # collect_set holds at most the three kinds; being an object aggregate it also lets
-    # min_by keep its text buffer in a hash map instead of sorting every line by file.
+    # min_by keep its text buffer in a hash map instead of sorting every line by file. It
+    # interprets what it is given, so the kind is a column before.
     kind = F.when(C.ends_open_from_outside(F.col("line")), OPEN).otherwise(
         C.record_fault(C.trim_line_end(F.col("line")), max_field_chars)
     )
     profile = store(
-        lines.groupBy("path").agg(
+        lines.select("path", "row_pos", "line", kind.alias("kind"))
+        .groupBy("path")
+        .agg(
             F.min_by("line", "row_pos").alias("header_line"),
-            F.array_sort(F.collect_set(kind)).alias("kinds"),
+            F.array_sort(F.collect_set("kind")).alias("kinds"),
             F.count("*").alias("line_count"),
         ),
         f"{folder}/profile",
@@ -119,7 +124,7 @@ def read_raw(
     rows = _bind(lines, plain)
     if spanning:
         rows = rows.unionByName(_bind(records, readable.join(quoted_names.select("path"), "path", "left_semi")))
-    return store(derive(rows), f"{folder}/rows"), files.select("source_file", "file_error")
+    return store(derive(rows), f"{folder}/rows", UNLIKE), files.select("source_file", "file_error")
 
 
 def unseen_files(spark: SparkSession, raw_dir: str) -> DataFrame:

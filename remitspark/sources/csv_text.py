@@ -44,7 +44,8 @@ def within_field(line: Column) -> Column:
 
 
 def trim_line_end(record: Column) -> Column:
-    return F.rtrim(record, F.lit("\r"))
+    # Only lines that end in one are searched.
+    return F.when(record.endswith("\r"), F.rtrim(record, F.lit("\r"))).otherwise(record)
 
 
 def fields(record: Column) -> Column:

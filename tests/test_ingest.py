@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from remitspark import schema as S
 from remitspark import tables
 from remitspark.operators import sinks, warehouse
+from remitspark.operators import validate as V
+from remitspark.plans import ingest as ingest_plan
 from remitspark.plans.checks import CHECKS
 from remitspark.plans.ingest import audit_unseen, ingest, ingest_and_load, ingest_notifications
 from remitspark.session import new_work_folder
@@ -484,3 +486,39 @@ def test_walk_lists_all_files(spark, tmp_path):
     found = walk(spark, str(tmp_path / "raw"), str(tmp_path / "work")).collect()
     assert {r.name: r.length for r in found} == {name: k for k, name in enumerate(names)}
     assert all(r.modified == (tmp_path / "raw" / r.name).stat().st_mtime_ns for r in found)
+
+
+def test_only_rows_that_may_be_repeated_are_shuffled(spark, conf, tmp_path, monkeypatch):
+    """With more repeated ids than a broadcast takes, the other rows stay in the tasks that read them."""
+    row = "2026-01-05T03:04:05,M1,C1,PM1,12.50,INR,SUCCESS,0,WEB,ASIA"
+    ids = [f"T{n}" for n in range(2000)] + [f"T{n}" for n in range(0, 200, 5)]
+    (tmp_path / "raw").mkdir()
+    header = ",".join(S.REQUIRED_COLUMNS)
+    (tmp_path / "raw" / "a.csv").write_text(header + "\n" + "".join(f"{i},{row}\n" for i in ids))
+    stored = {}
+
+    def counting(df, path, *more):
+        table = tables.store(df, path, *more)
+        stored[path.rsplit("/", 1)[-1]] = (table.count(), df.columns)
+        return table
+
+    monkeypatch.setattr(ingest_plan, "store", counting)
+    conf("spark.sql.autoBroadcastJoinThreshold", "1000b")
+    audit = ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out")).collect()
+    assert [(a.total_valid_records, a.total_rejected_records) for a in audit] == [(2000, 40)]
+    raw_text = [n for n, (rows, columns) in stored.items() if "merchant_id" in columns and rows > 100]
+    assert raw_text == [], "rows that cannot be repeated are written again"
+    processed = sinks.read_processed(spark, str(tmp_path / "out"))
+    assert sorted(r.transaction_id for r in processed.collect()) == sorted(set(ids))
+
+
+def test_parts_by_repeated_ids_are_the_rows_as_marked_at_once(spark):
+    """Rows without an id, with a null id and in several files, in parts or at once."""
+    faults = {0: "INVALID_AMOUNT"}
+    rows = [(f"f{n % 3}", n, "" if n % 7 == 0 else f"T{n % 50}", faults.get(n % 11)) for n in range(400)]
+    checked = spark.createDataFrame(rows, "source_file string, row_pos long, clean_id string, fault string")
+    repeated = V.first_valid(checked)
+    stays, shuffled = V.mark_in_parts(checked, repeated)
+    at_once = V.mark_duplicates(checked, repeated, True).select(stays.columns)
+    assert sorted(map(str, stays.unionByName(shuffled).collect())) == sorted(map(str, at_once.collect()))
+    assert {r.rejection_reason for r in stays.collect()} <= {None, "INVALID_AMOUNT"}
