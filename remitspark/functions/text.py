@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 # Every character that Python's str.strip() removes; all lie in the basic plane.
@@ -22,6 +24,11 @@ def clean_upper(c: Column) -> Column:
     return F.upper(clean(c))
 
 
+def clean_choice(c: Column, choices: Iterable[str]) -> Column:
+    """:func:`clean_upper`; text that is one of ``choices``, clean and in upper case, is taken as it is."""
+    return F.when(c.isin(*choices), c).otherwise(clean_upper(c))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(clean(c), F.lit(""))
 

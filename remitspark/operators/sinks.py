@@ -44,6 +44,8 @@ def write_processed(
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
+        # Ids hardly repeat: no dictionary of them is tried.
+        .option("parquet.enable.dictionary#transaction_id", "false")
         .partitionBy(*S.PROCESSED_PARTITIONS)
         .parquet(path)
     )

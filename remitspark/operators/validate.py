@@ -49,8 +49,8 @@ def _first_fault() -> Column:
         F.when(raw_ts == "", S.EMPTY_TIMESTAMP),
         F.when(F.col("parsed_ts").isNull(), S.INVALID_TIMESTAMP),
         R.amount_fault(F.col("clean_amount"), F.col("amount_literal"), F.col("parsed_amount")),
-        F.when(~R.clean_upper(F.col("currency")).isin(S.CURRENCIES), S.INVALID_CURRENCY),
-        F.when(~R.clean_upper(F.col("status")).isin(S.STATUSES), S.INVALID_STATUS),
+        F.when(~R.clean_choice(F.col("currency"), S.CURRENCIES).isin(S.CURRENCIES), S.INVALID_CURRENCY),
+        F.when(~R.clean_choice(F.col("status"), S.STATUSES).isin(S.STATUSES), S.INVALID_STATUS),
         F.when(R.clean(F.col("merchant_id")) == "", S.MISSING_MERCHANT_ID),
         F.when(R.clean(F.col("payment_method_id")) == "", S.MISSING_PAYMENT_METHOD_ID),
         F.when(R.clean(F.col("region")) == "", S.MISSING_REGION),
@@ -136,8 +136,8 @@ def valid_rows(annotated: DataFrame) -> DataFrame:
         R.blank_to_null(F.col("customer_id")).alias("customer_id"),
         R.clean(F.col("payment_method_id")).alias("payment_method_id"),
         F.col("parsed_amount").alias("amount"),
-        R.clean_upper(F.col("currency")).alias("currency"),
-        R.clean_upper(F.col("status")).alias("status"),
+        R.clean_choice(F.col("currency"), S.CURRENCIES).alias("currency"),
+        R.clean_choice(F.col("status"), S.STATUSES).alias("status"),
         R.flag(F.col("is_fraud_flag")).alias("is_fraud_flag"),
         R.blank_to_null(F.col("device_type")).alias("device_type"),
         R.clean(F.col("region")).alias("region"),
